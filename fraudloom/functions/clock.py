@@ -1,6 +1,8 @@
 """Time text and clock fields, independent of the session time zone."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +23,13 @@ ISO_PARTS = "$1-$3-$4|$5|$7|$8|$9|$11|$12|$14|$15|$16"
 WEEK_FORM = r"^(\d{4})(-?)W(\d{2})(?:\2(\d))?"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _week_to_calendar(text: Column) -> Column:
-    """Rewrite a leading ISO week date as a calendar date; other text passes unchanged."""
+    """Rewrite a leading ISO week date as a calendar date; null if there is no such week."""
     year = F.regexp_extract(text, WEEK_FORM, 1)
     week = F.regexp_extract(text, WEEK_FORM, 3).try_cast("int")
     day = F.coalesce(F.nullif(F.regexp_extract(text, WEEK_FORM, 4), F.lit("")), F.lit("1")).try_cast("int")
@@ -31,41 +38,45 @@ def _week_to_calendar(text: Column) -> Column:
     found = F.date_add(monday, (week - 1) * 7 + day - 1)
     last_week = F.weekofyear(F.concat(year, F.lit("-12-28")).try_cast("date"))
     ok = week.between(1, last_week) & day.between(1, 7)
-    rest = F.regexp_replace(text, WEEK_FORM, "")
-    return F.when(
-        text.rlike(WEEK_FORM), F.when(ok, F.concat(F.date_format(found, "yyyy-MM-dd"), rest))
-    ).otherwise(text)
+    return F.when(ok, F.concat(F.date_format(found, "yyyy-MM-dd"), F.regexp_replace(text, WEEK_FORM, "")))
 
 
 def _micros(digits: Column) -> Column:
     return F.rpad(F.substring(digits, 1, 6), 6, "0")
 
 
-def parse_iso(text: Column) -> Column:
-    """``struct(event_us, local_us)`` of ISO-8601 text, or null if it is not one.
-
-    ``local_us`` is the wall clock written in the text, ``event_us`` the instant. Text without an
-    offset is UTC. The zone is applied by arithmetic: Spark's own cast stops at offsets of 18 hours.
-    """
-    calendar = _week_to_calendar(text)
-    part = F.split(F.regexp_replace(calendar, ISO_FORM, ISO_PARTS), r"\|")
-
+def _read_parts(part: Column) -> Column:
     def piece(i: int, default: str) -> Column:
-        return F.coalesce(F.nullif(F.get(part, i), F.lit("")), F.lit(default))
+        return F.coalesce(F.nullif(F.get(part, F.lit(i)), F.lit("")), F.lit(default))
 
     clock = F.concat(
         piece(0, ""), F.lit(" "), piece(1, "00"), F.lit(":"), piece(2, "00"), F.lit(":"),
         piece(3, "00"), F.lit("."), _micros(piece(4, "0")), F.lit("Z"),
     )
-    local_us = F.unix_micros(clock.try_cast("timestamp"))
-    hours, minutes, seconds = (piece(i, "0").try_cast("bigint") for i in (6, 7, 8))
-    size = (hours * 3600 + minutes * 60 + seconds) * SECOND_US + _micros(piece(9, "0")).try_cast("bigint")
+    hours, minutes, seconds = (piece(i, "0").cast("bigint") for i in (6, 7, 8))
+    size = (hours * 3600 + minutes * 60 + seconds) * SECOND_US + _micros(piece(9, "0")).cast("bigint")
     shift = F.when(piece(5, "+") == "-", -size).otherwise(size)
-    in_range = (hours < 24) & (minutes < 60) & (seconds < 60) & ~calendar.startswith("0000")
-    good = calendar.rlike(ISO_FORM) & in_range & local_us.isNotNull()
-    return F.when(
-        good, F.struct((local_us - shift).alias("event_us"), local_us.alias("local_us"))
-    )
+    # A missing date must not reach the cast: Spark reads a bare clock as today.
+    usable = part.isNotNull() & (hours < 24) & (minutes < 60) & (seconds < 60) & ~piece(0, "").startswith("0000")
+    local = F.when(usable, F.unix_micros(clock.try_cast("timestamp")))
+    return F.struct(local.alias("local_us"), shift.alias("shift_us"))
+
+
+def parse_iso(text: Column) -> Column:
+    """``struct(event_us, local_us)`` of ISO-8601 text; both null if it is not one.
+
+    ``local_us`` is the wall clock written in the text, ``event_us`` the instant. Text without an
+    offset is UTC. The zone is applied by arithmetic: Spark's own cast stops at offsets of 18 hours.
+    """
+    def split_parts(day: Column) -> Column:
+        return F.when(day.rlike(ISO_FORM), F.split(F.regexp_replace(day, ISO_FORM, ISO_PARTS), r"\|"))
+
+    def instant(read: Column) -> Column:
+        return F.struct((read["local_us"] - read["shift_us"]).alias("event_us"), read["local_us"].alias("local_us"))
+
+    calendar = bind(text, lambda t: F.when(t.rlike(WEEK_FORM), _week_to_calendar(t)).otherwise(t))
+    parts = bind(calendar, split_parts)
+    return bind(bind(parts, _read_parts), instant)
 
 
 def iso_utc(event_us: Column) -> Column:

@@ -40,24 +40,22 @@ def fraud_rows(flagged: DataFrame) -> DataFrame:
         F.col(DETECTED).alias("detected_at"))
 
 
-def _without_label(payload: str = "payload"):
-    """The event as JSON text of its contract fields; the ground-truth label is left out."""
-    fields = [f for f in schemas.EVENT_SCHEMA.fields if f.name != schemas.LABEL_FIELD]
-    return F.from_json(payload, schemas.T.StructType(fields))
+def _members():
+    """The payload's members with their JSON types, without the ground-truth label."""
+    members = F.from_json("payload", "map<string,variant>")
+    return F.map_filter(members, lambda name, _: name != schemas.LABEL_FIELD)
 
 
 def cleaned_messages(flagged: DataFrame) -> DataFrame:
     """Every valid event as a message keyed by user."""
-    return flagged.select(F.col("user_id").alias("key"), F.to_json(_without_label()).alias("value"))
+    return flagged.select(F.col("user_id").alias("key"), F.to_json(_members()).alias("value"))
 
 
 def suspicious_messages(flagged: DataFrame) -> DataFrame:
     """Events with findings as messages keyed by user."""
-    event = _without_label()
-    names = [f.name for f in schemas.EVENT_SCHEMA.fields if f.name != schemas.LABEL_FIELD]
-    alert = F.struct(*[event[n].alias(n) for n in names], F.col("findings").alias("fraud_findings"))
+    found = F.create_map(F.lit("fraud_findings"), F.to_variant_object("findings"))
     return flagged.filter("is_flagged").select(
-        F.col("user_id").alias("key"), F.to_json(alert).alias("value"))
+        F.col("user_id").alias("key"), F.to_json(F.map_concat(_members(), found)).alias("value"))
 
 
 def retain_latest(table: DataFrame, keep: int = 20_000, time: str = "event_time",

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudloom import schemas
-from fraudloom.functions.clock import parse_iso
+from fraudloom.functions.clock import bind, parse_iso
 
 # Fixed value: text that reads as a number (digits may be grouped by single underscores).
 NUMBER_FORM = (
@@ -20,19 +20,30 @@ def _blank(column: str) -> Column:
 
 def number(text: Column) -> Column:
     """Text as double, null if it is not a number. A bare JSON NaN arrives with quotes around it."""
-    bare = F.regexp_replace(text, '^"(.*)"$', "$1")
-    plain = F.lower(F.trim(F.replace(bare, F.lit("_"), F.lit(""))))
-    endless = F.regexp_replace(plain, "^([+-]?)inf$", "$1infinity")
-    return F.when(bare.rlike(NUMBER_FORM), endless.try_cast("double"))
+    def read(bare: Column) -> Column:
+        plain = F.lower(F.trim(F.replace(bare, F.lit("_"), F.lit(""))))
+        return F.when(bare.rlike(NUMBER_FORM), F.regexp_replace(plain, "inf$", "infinity").try_cast("double"))
+
+    return bind(F.regexp_replace(text, '^"(.*)"$', "$1"), read)
+
+
+def with_reading(events: DataFrame) -> DataFrame:
+    """Add ``reading``: time and amount read from their text.
+
+    Made by a generator and not a projection, because the optimizer copies projected expressions
+    into every filter and column that uses them, and these are long.
+    """
+    reading = F.struct(parse_iso(F.col("event_time")).alias("time"), number(F.col("amount")).alias("amount"))
+    return events.select("*", F.explode(F.array(reading)).alias("reading"))
 
 
 def checks(as_of_us: Column, profile: str = "full") -> dict[str, Column]:
-    """When each check fails, in listing order.
+    """When each check fails, in listing order, for rows with their ``reading``.
 
     ``as_of_us`` is the clock for the future check. ``light`` is the reduced gate with one merged
     amount check.
     """
-    value = number(F.col("amount"))
+    value = F.col("reading.amount")
     gone = {
         "MISSING_TRANSACTION_ID": _blank("transaction_id"),
         "MISSING_USER_ID": _blank("user_id"),
@@ -45,7 +56,7 @@ def checks(as_of_us: Column, profile: str = "full") -> dict[str, Column]:
         bad_amount = F.coalesce(value.isNull() | not_positive, F.lit(True))
         return {**gone, "INVALID_AMOUNT": bad_amount, "INVALID_CITY": city, "INVALID_STATUS": status}
     handle = F.coalesce("upi_handle", F.lit(""))
-    when = parse_iso(F.col("event_time"))
+    event_us = F.col("reading.time.event_us")
     return {
         **gone,
         "NULL_AMOUNT": F.col("amount").isNull(),
@@ -55,20 +66,16 @@ def checks(as_of_us: Column, profile: str = "full") -> dict[str, Column]:
         "INVALID_UPI_HANDLE": ~F.contains(handle, F.lit("@")) | (F.length(handle) < MIN_HANDLE),
         "INVALID_STATUS": status,
         "INVALID_CITY": city,
-        "INVALID_TIMESTAMP": when.isNull(),
-        "FUTURE_TIMESTAMP": when["event_us"] > as_of_us,
+        "INVALID_TIMESTAMP": event_us.isNull(),
+        "FUTURE_TIMESTAMP": event_us > as_of_us,
     }
 
 
-def failed_checks(as_of_us: Column, profile: str = "full") -> Column:
-    return F.array_compact(F.array(*[
-        F.when(bad, F.lit(code)) for code, bad in checks(as_of_us, profile).items()]))
-
-
 def gate(events: DataFrame, as_of_us: Column | None = None, profile: str = "full") -> DataFrame:
     """Events with ``failed_checks``. Without ``as_of_us`` the ingest time is the clock."""
     clock = F.unix_micros("ingested_at") if as_of_us is None else as_of_us
-    return events.withColumn("failed_checks", failed_checks(clock, profile))
+    codes = [F.when(bad, F.lit(code)) for code, bad in checks(clock, profile).items()]
+    return with_reading(events).withColumn("failed_checks", F.array_compact(F.array(*codes)))
 
 
 def dq_split(gated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -95,20 +102,18 @@ def rejected_with(rejected: DataFrame, code: str) -> DataFrame:
 
 
 def typed(valid: DataFrame) -> DataFrame:
-    """Valid text events as typed transactions, ready for the features."""
-    when = parse_iso(F.col("event_time"))
-    value = number(F.col("amount"))
+    """Valid events as typed transactions, ready for the features.
+
+    An amount that no money column can hold (NaN, infinite, too large) passes the gate and becomes null.
+    """
+    value = F.col("reading.amount")
     plain = F.trim(F.replace("amount", F.lit("_"), F.lit("")))
-    amount = F.when(F.isnan(value) | (F.abs(value) >= 1e12), None).otherwise(
-        F.coalesce(plain.try_cast(schemas.MONEY), F.round(value, 2).try_cast(schemas.MONEY)))
-    return (
-        valid.withColumn("_when", when)
-        .withColumns({
-            "amount": amount,
-            "latitude": F.col("latitude").try_cast("double"),
-            "longitude": F.col("longitude").try_cast("double"),
-            "event_us": F.col("_when.event_us"),
-            "local_us": F.col("_when.local_us"),
-        })
-        .drop("_when", "event_time", "failed_checks")
-    )
+    amount = F.when(~F.isnan(value) & (F.abs(value) < 1e12), F.coalesce(
+        plain.try_cast(schemas.MONEY), F.round(value, 2).try_cast(schemas.MONEY)))
+    return valid.withColumns({
+        "amount": amount,
+        "latitude": F.col("latitude").try_cast("double"),
+        "longitude": F.col("longitude").try_cast("double"),
+        "event_us": F.col("reading.time.event_us"),
+        "local_us": F.col("reading.time.local_us"),
+    }).drop("reading", "event_time", "failed_checks")
