@@ -64,7 +64,7 @@ def retain_latest(table: DataFrame, keep: int = 20_000, time: str = "event_time"
     return table.orderBy(F.col(time).desc(), F.col(tie).desc()).limit(keep)
 
 
-def run_pipeline(
+def build_layers(
     messages: DataFrame, as_of_us=None, dedupe: bool = True, order: str = "event_time",
     limits: rules.Thresholds = rules.DEFAULT,
 ) -> dict[str, DataFrame]:

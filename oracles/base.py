@@ -9,7 +9,7 @@ GATE_CLOCK = EPOCH + 731 * 86400000000
 
 
 def ctes(*parts: str) -> str:
-    return "WITH " + ",\n".join(p.strip() for p in parts)
+    return "WITH " + ",\n".join(p.strip() for p in parts) + "\n"
 
 
 def adapter(squeeze: int = 1000, late: bool = False) -> str:
