@@ -13,8 +13,15 @@ REPORT_CHARS = 200
 UNKNOWN_ERROR = "unknown"
 
 
+def _flatten(parsed: DataFrame) -> DataFrame:
+    """Event fields as text columns next to payload, coordinates and error."""
+    fields = [F.col(f"evt.{f.name}").alias(f.name) for f in schemas.EVENT_SCHEMA.fields]
+    return parsed.select(*fields, F.col("value").alias("payload"), "topic", "partition", "offset", "ingested_at",
+                         F.col("offset").alias("seq"), "error")
+
+
 def parse(messages: DataFrame) -> DataFrame:
-    """Messages with their event fields as text (``evt``) and a parse ``error`` or null."""
+    """Messages with their event fields as text columns and a parse ``error`` or null."""
     schema = schemas.T.StructType([*schemas.EVENT_SCHEMA.fields,
                                    schemas.T.StructField(CORRUPT, schemas.T.StringType())])
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
@@ -22,30 +29,25 @@ def parse(messages: DataFrame) -> DataFrame:
     error = F.when(F.col("evt").isNull() | F.col(f"evt.{CORRUPT}").isNotNull(), F.when(
         is_object, "malformed JSON").otherwise("not a JSON object")).when(~is_object, "not a JSON object")
     # A generator, so that the parse is not copied into every filter on its fields.
-    return messages.select("*", F.explode(F.array(parsed)).alias("evt")).withColumn("error", error)
+    return messages.select("*", F.explode(F.array(parsed)).alias("evt")).withColumn("error", error).transform(_flatten)
 
 
-def dead_letters(parsed: DataFrame) -> DataFrame:
+def dead_letters(flat: DataFrame) -> DataFrame:
     """Dead-letter messages ``{error, raw}`` for what is not a JSON object."""
-    body = F.to_json(F.struct("error", F.col("value").alias("raw")))
-    coordinates = [c for c in ("topic", "partition", "offset") if c in parsed.columns]
-    return parsed.filter(F.col("error").isNotNull()).select(
-        F.lit(DEAD_LETTER_KEY).alias("key"), body.alias("value"), *coordinates)
+    body = F.to_json(F.struct("error", F.col("payload").alias("raw")))
+    return flat.filter(F.col("error").isNotNull()).select(
+        F.lit(DEAD_LETTER_KEY).alias("key"), body.alias("value"), "topic", "partition", "offset")
 
 
-def raw_rows(parsed: DataFrame) -> DataFrame:
+def raw_rows(flat: DataFrame) -> DataFrame:
     """Raw layer: every parsed event verbatim, with broker coordinates and ingest time."""
-    return parsed.filter(F.col("error").isNull()).select(
-        F.col("evt.transaction_id").alias("transaction_id"), F.col("value").alias("payload"),
-        "topic", "partition", "offset", "ingested_at")
+    return flat.filter(F.col("error").isNull()).select(
+        "transaction_id", "payload", "topic", "partition", "offset", "ingested_at")
 
 
-def events(parsed: DataFrame) -> DataFrame:
-    """Parsed events as text columns next to their payload and coordinates."""
-    fields = [F.col(f"evt.{f.name}").alias(f.name) for f in schemas.EVENT_SCHEMA.fields]
-    return parsed.filter(F.col("error").isNull()).select(
-        *fields, F.col("value").alias("payload"), "topic", "partition", "offset", "ingested_at",
-        F.col("offset").alias("seq"))
+def events(flat: DataFrame) -> DataFrame:
+    """What goes on to the gate."""
+    return flat.filter(F.col("error").isNull()).drop("error")
 
 
 def injected(payload: Column) -> Column:

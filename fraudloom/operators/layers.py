@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fraudloom import schemas
 from fraudloom.operators import features, ingest, quality, rules
+from fraudloom.session import scratch_folder
 
 DETECTED = "ingested_at"  # stands for the wall clock of the run
 
@@ -64,20 +65,33 @@ def retain_latest(table: DataFrame, keep: int = 20_000, time: str = "event_time"
     return table.orderBy(F.col(time).desc(), F.col(tie).desc()).limit(keep)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that later passes read columns of a table."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_layers(
     messages: DataFrame, as_of_us=None, dedupe: bool = True, order: str = "event_time",
-    limits: rules.Thresholds = rules.DEFAULT,
+    limits: rules.Thresholds = rules.DEFAULT, stage: bool = True,
 ) -> dict[str, DataFrame]:
-    """All layers of a batch of messages."""
-    parsed = ingest.parse(messages)
-    valid, rejected = quality.dq_split(quality.gate(ingest.events(parsed), as_of_us))
+    """All layers of a batch of messages.
+
+    Every layer starts from the parsed and gated events. With ``stage`` these are written once and
+    each layer reads only its columns; without it the messages are parsed again per layer.
+    """
+    gated = quality.gate(ingest.parse(messages), as_of_us)
+    if stage:
+        gated = staged(gated, "gated")
+    valid, rejected = quality.dq_split(ingest.events(gated))
     txns = quality.typed(valid)
     if dedupe:
         txns = first_by_key(txns, "transaction_id")
     flagged = rules.evaluate(features.add_features(txns, order=order), limits)
     return {
-        "raw": ingest.raw_rows(parsed),
-        "dead_letters": ingest.dead_letters(parsed),
+        "raw": ingest.raw_rows(gated),
+        "dead_letters": ingest.dead_letters(gated),
         "rejected": quality.rejected_rows(rejected),
         "flagged": flagged,
         "processed": processed_rows(flagged),

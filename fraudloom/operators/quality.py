@@ -5,12 +5,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudloom import schemas
-from fraudloom.functions.clock import bind, parse_iso
+from fraudloom.functions.clock import bind, parse_common_iso, parse_iso
 
 # Fixed value: text that reads as a number (digits may be grouped by single underscores).
 NUMBER_FORM = (
     r"(?i)^\s*[+-]?(nan|inf|infinity|(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?)\s*$"
 )
+USUAL_NUMBER = r"^[+-]?\d{1,15}(\.\d{1,9})?$"
 MIN_HANDLE = 4  # fixed value
 
 
@@ -30,11 +31,20 @@ def number(text: Column) -> Column:
 def with_reading(events: DataFrame) -> DataFrame:
     """Add ``reading``: time and amount read from their text.
 
-    Made by a generator and not a projection, because the optimizer copies projected expressions
-    into every filter and column that uses them, and these are long.
+    The usual forms are read by compiled code; what is left null goes through the general readers.
+    These sit in a generator and not a projection, because the optimizer copies projected expressions
+    into every filter and column that uses them.
     """
-    reading = F.struct(parse_iso(F.col("event_time")).alias("time"), number(F.col("amount")).alias("amount"))
-    return events.select("*", F.explode(F.array(reading)).alias("reading"))
+    amount = F.col("amount")
+    usual = events.withColumns({
+        "_time": parse_common_iso(F.col("event_time")),
+        "_number": F.when(amount.rlike(USUAL_NUMBER), amount.try_cast("double")),
+    })
+    reading = F.struct(
+        F.coalesce("_time", parse_iso(F.col("event_time"))).alias("time"),
+        F.coalesce("_number", number(amount)).alias("amount"),
+    )
+    return usual.select(*events.columns, F.explode(F.array(reading)).alias("reading"))
 
 
 def checks(as_of_us: Column, profile: str = "full") -> dict[str, Column]:
@@ -75,7 +85,8 @@ def gate(events: DataFrame, as_of_us: Column | None = None, profile: str = "full
     """Events with ``failed_checks``. Without ``as_of_us`` the ingest time is the clock."""
     clock = F.unix_micros("ingested_at") if as_of_us is None else as_of_us
     codes = [F.when(bad, F.lit(code)) for code, bad in checks(clock, profile).items()]
-    return with_reading(events).withColumn("failed_checks", F.array_compact(F.array(*codes)))
+    failed = F.array_except(F.array(*codes), F.array(F.lit(None).cast("string")))
+    return with_reading(events).withColumn("failed_checks", failed)
 
 
 def dq_split(gated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -96,20 +96,23 @@ def written(df: DataFrame, name: str, times: int = 1) -> DataFrame:
 
 # ---- sources and sinks --------------------------------------------------------------------------------
 
-def message_folder(spark: SparkSession, d: str, parts: int = 3) -> str:
-    """The messages as files in arrival order, one folder written step by step."""
-    path = scratch_folder(spark, "messages")
-    rows = adapter.messages(spark, d)
-    last = rows.agg(F.max("offset")).first()[0] + 1
-    for i in range(parts):
-        low, high = last * i // parts, last * (i + 1) // parts
-        rows.filter((F.col("offset") >= low) & (F.col("offset") < high)).write.mode("append").parquet(path)
+STEP_FILES = 4
+
+
+def in_steps(rows: DataFrame, order: str, name: str, steps: int = 3) -> str:
+    """``rows`` as files in arrival order: each step adds ``STEP_FILES`` files, one trigger's worth."""
+    path = scratch_folder(rows.sparkSession, name)
+    last = rows.agg(F.max(order)).first()[0] + 1
+    for i in range(steps):
+        low, high = last * i // steps, last * (i + 1) // steps
+        part = rows.filter((F.col(order) >= low) & (F.col(order) < high))
+        part.repartition(STEP_FILES).write.mode("append").parquet(path)
     return path
 
 
 def src_stream(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_folder(spark, "stream-out")
-    stream = streams.file_messages(spark, message_folder(spark, d), 1)
+    stream = streams.file_messages(spark, in_steps(adapter.messages(spark, d), "offset", "messages"), STEP_FILES)
     query = (stream.select("topic", "partition", "offset", F.length("value").alias("chars")).writeStream
              .format("parquet").option("path", out).option("checkpointLocation", out + "-progress")
              .trigger(availableNow=True).start())
@@ -218,15 +221,11 @@ def feat_arrival(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feat_stream_state(spark: SparkSession, d: str) -> DataFrame:
-    """The keyed-state features of a stream that arrives in three files, back-dated events included."""
-    path = scratch_folder(spark, "txns")
+    """The keyed-state features of a stream that arrives in three steps, back-dated events included."""
     rows = txns(spark, d, late=True)
-    last = rows.agg(F.max("seq")).first()[0] + 1
-    for i in range(3):
-        low, high = last * i // 3, last * (i + 1) // 3
-        rows.filter((F.col("seq") >= low) & (F.col("seq") < high)).write.mode("append").parquet(path)
+    path = in_steps(rows, "seq", "txns")
     out = scratch_folder(spark, "stream-features")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", STEP_FILES).parquet(path)
     wanted = stream.select("user_id", "local_us", *features.INPUTS)
     query = (state.add_features(wanted).writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", out + "-progress").trigger(availableNow=True).start())
@@ -378,7 +377,8 @@ _trained: dict[tuple[str, str], model.GBTClassificationModel] = {}
 
 
 def halves(spark: SparkSession, d: str) -> DataFrame:
-    return model.stratified_split(labelled(spark, d))
+    checkpoint_root(spark)
+    return model.stratified_split(labelled(spark, d).checkpoint())
 
 
 def trained(spark: SparkSession, d: str):

@@ -77,5 +77,5 @@ TOTAL = T.DecimalType(18, 2)
 
 def cities(spark: SparkSession) -> DataFrame:
     """The city reference table (ten fixed rows)."""
-    rows = [(i, name, lat, lon) for i, (name, (lat, lon)) in enumerate(CITIES.items())]
-    return spark.createDataFrame(rows, "ci int, city string, latitude double, longitude double")
+    rows = ", ".join(f"({i}, '{name}', {lat}D, {lon}D)" for i, (name, (lat, lon)) in enumerate(CITIES.items()))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS cities(ci, city, latitude, longitude)")

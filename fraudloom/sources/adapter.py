@@ -23,17 +23,25 @@ def _prefixed(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when a few small files would keep most cores idle; larger inputs stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def transactions(
     spark: SparkSession, sf_dir: str, squeeze: int = SQUEEZE, late: bool = False
 ) -> DataFrame:
     """Clean typed transactions. ``late`` back-dates every 17th event, so order and time differ."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    seq, user = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    seq, user, k, event_us = F.col("event_id"), F.col("user_id"), F.col("k"), F.col("event_us")
     time_us = F.unix_micros(F.col("ts").cast("timestamp"))
-    event_us = F.lit(EPOCH_US) + int_div(time_us - EPOCH_US, F.lit(squeeze))
+    squeezed = F.lit(EPOCH_US) + int_div(time_us - EPOCH_US, F.lit(squeeze))
     if late:
-        event_us = event_us - F.when(seq % 17 == 0, F.lit(LATE_US)).otherwise(0)
+        squeezed = squeezed - F.when(seq % 17 == 0, F.lit(LATE_US)).otherwise(0)
+    # k and the time are used many times below: a generator computes them once per row.
+    base = F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"), squeezed.alias("event_us"))
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
+        "event_id", "user_id", "event_type", "value", F.inline(F.array(base)))
     rows = events.select(
         seq.alias("seq"),
         _prefixed("T", seq).alias("transaction_id"),
@@ -91,18 +99,11 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty events as JSON messages with broker coordinates; three residues are not JSON objects."""
-    d = dirty(spark, sf_dir)
-
-    def member(name: str, value: Column, quoted: bool = True) -> Column:
-        text = F.concat(F.lit('"'), value, F.lit('"')) if quoted else value
-        return F.concat(F.lit(f'"{name}": '), F.coalesce(text, F.lit("null")))
-
-    members = [
-        member(name, F.col(name).cast("string"), name not in ("latitude", "longitude"))
-        for name in schemas.EVENT_FIELDS
-    ]
-    members += [member("event_time", F.col("event_time")), member(schemas.LABEL_FIELD, F.col("injected"))]
-    whole = F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+    members = [F.col(name) for name in schemas.EVENT_FIELDS]
+    event = F.struct(*members, "event_time", F.col("injected").alias(schemas.LABEL_FIELD))
+    text = F.to_json(event, {"ignoreNullFields": "false"})
+    d = dirty(spark, sf_dir).select("*", F.explode(F.array(text)).alias("whole"))
+    whole = F.col("whole")
     slot = F.col("seq") % 50
     value = F.when(slot == 14, F.substring(whole, 1, 40)).when(slot == 15, "[1]").when(slot == 16, "5")
     return d.select(

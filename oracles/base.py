@@ -88,10 +88,10 @@ def json_text() -> str:
     for name in EVENT_FIELDS:
         text = f"CAST({name} AS VARCHAR)"
         quoted = text if name in ("latitude", "longitude") else f"concat('\"', {text}, '\"')"
-        parts.append(f"concat('\"{name}\": ', CASE WHEN {name} IS NULL THEN 'null' ELSE {quoted} END)")
+        parts.append(f"concat('\"{name}\":', CASE WHEN {name} IS NULL THEN 'null' ELSE {quoted} END)")
     for name, col in (("event_time", "event_time"), ("_injected_fraud", "injected")):
-        parts.append(f"concat('\"{name}\": ', CASE WHEN {col} IS NULL THEN 'null' ELSE concat('\"', {col}, '\"') END)")
-    return "concat('{', concat_ws(', ', " + ", ".join(parts) + "), '}')"
+        parts.append(f"concat('\"{name}\":', CASE WHEN {col} IS NULL THEN 'null' ELSE concat('\"', {col}, '\"') END)")
+    return "concat('{', concat_ws(',', " + ", ".join(parts) + "), '}')"
 
 
 MESSAGES = f"""
