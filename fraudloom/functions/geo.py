@@ -14,4 +14,5 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     chord = F.pow(F.sin(half_dlat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
         F.sin(half_dlon), 2
     )
-    return F.asin(F.sqrt(F.least(F.lit(1.0), chord))) * (2 * EARTH_RADIUS_KM)
+    # Not least(): it skips nulls, and a missing point must stay null.
+    return F.asin(F.sqrt(F.when(chord > 1.0, 1.0).otherwise(chord))) * (2 * EARTH_RADIUS_KM)

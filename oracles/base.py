@@ -138,8 +138,8 @@ feats AS (SELECT *, avg_cents / 100.0 AS avg_amount_30d,
     isodow(make_timestamp(local_us)) >= 6 AS is_weekend,
     (hour(make_timestamp(local_us)) >= 23 OR hour(make_timestamp(local_us)) < 5) AS is_night,
     CAST(trunc((event_us - prev_us) / 1000000.0) AS BIGINT) AS seconds_since_prev,
-    round(2 * 6371.0e0 * asin(sqrt(least(1.0e0, pow(sin(radians(latitude - lat0) / 2), 2)
-      + cos(radians(lat0)) * cos(radians(latitude)) * pow(sin(radians(longitude - lon0) / 2), 2)))), 2) AS km_from_prev
+    CASE WHEN lat0 IS NOT NULL AND latitude IS NOT NULL THEN round(2 * 6371.0e0 * asin(sqrt(least(1.0e0, pow(sin(radians(latitude - lat0) / 2), 2)
+      + cos(radians(lat0)) * cos(radians(latitude)) * pow(sin(radians(longitude - lon0) / 2), 2)))), 2) END AS km_from_prev
   FROM h2)"""
 
 
