@@ -7,13 +7,13 @@ same second step, so batch and stream cannot drift apart.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from fraudloom.functions import clock
 from fraudloom.functions.exact import cents, half_up, money
 from fraudloom.functions.geo import haversine_km
-from fraudloom.plans.hot_keys import IS_CONTEXT, SEGMENT, position_in, running_base, segment_hot_keys
+from fraudloom.plans.hot_keys import IS_CONTEXT, SEGMENT, running_base, segment_hot_keys
 from fraudloom.schemas import FEATURES, LIGHT_FEATURES
 
 # History length, window lengths, statuses remembered.
@@ -38,11 +38,29 @@ def order_columns(order: str) -> tuple[str, ...]:
     return ("event_us", "seq") if order == "event_time" else ("seq",)
 
 
-def _count_within(times: Column, now: Column, span: int, history: int, ordered: bool) -> Column:
-    """Remembered times no more than ``span`` before ``now`` (both ends included)."""
-    if ordered:
-        return F.size(times) - position_in(times, now - span, history, inclusive=False)
-    return F.size(F.filter(times, lambda t: now - t <= span))
+def _counts_by_time(rows: DataFrame, keys: tuple[str, ...], history: int) -> DataFrame:
+    """Remembered events at most an hour and a minute back (both ends included), in time order.
+
+    Earlier events minus those that are too old. Both are frames that only grow, so a row costs the
+    same however many events its hour holds.
+    """
+    by_time = Window.partitionBy(*keys).orderBy(F.col("event_us").asc_nulls_first())
+
+    def recent(span: int) -> Column:
+        too_old = F.count("event_us").over(by_time.rangeBetween(Window.unboundedPreceding, -span - 1))
+        return F.least(F.col("_before") - too_old, F.lit(history))
+
+    return rows.select("*", recent(HOUR_US).alias("prior_hour"), recent(MINUTE_US).alias("prior_minute"))
+
+
+def _counts_by_arrival(rows: DataFrame, remembered: WindowSpec) -> DataFrame:
+    """The same in arrival order, where a remembered event may also lie in the future."""
+    rows = rows.select("*", F.collect_list("event_us").over(remembered).alias("_times"))
+
+    def recent(span: int) -> Column:
+        return F.size(F.filter("_times", lambda t: F.col("event_us") - t <= span))
+
+    return rows.select("*", recent(HOUR_US).alias("prior_hour"), recent(MINUTE_US).alias("prior_minute")).drop("_times")
 
 
 def history_columns(txns: DataFrame, history: int, order: str, hot_rows: int | None) -> DataFrame:
@@ -67,13 +85,13 @@ def history_columns(txns: DataFrame, history: int, order: str, hot_rows: int | N
     per_merchant = Window.partitionBy(*seg.keys, "merchant").orderBy(*ranked)
     per_user = Window.partitionBy(*seg.keys).orderBy(*ranked)
     earlier = per_user.rowsBetween(Window.unboundedPreceding, -1)
-    remembered = per_user.rowsBetween(-history, -1)
 
     c = cents(F.col("amount")).cast("decimal(19,0)")
     # Each select is one window pass; all passes share one exchange on the keys.
     rows = rows.select(
         "*",
-        F.coalesce(F.count("amount").over(earlier), F.lit(0)).alias("_n"),
+        F.count("event_us").over(earlier).alias("_before"),
+        F.count("amount").over(earlier).alias("_n"),
         F.coalesce(F.sum(c).over(earlier).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")).alias("_sum"),
         F.coalesce(F.sum((c * c).cast("decimal(28,0)")).over(earlier).cast("decimal(38,0)"),
                    F.lit(0).cast("decimal(38,0)")).alias("_squares"),
@@ -83,30 +101,29 @@ def history_columns(txns: DataFrame, history: int, order: str, hot_rows: int | N
         F.lag("latitude").over(per_user).alias("prev_latitude"),
         F.lag("longitude").over(per_user).alias("prev_longitude"),
     )
-    # The time list is wide, so it is made in this pass and reduced to counts right after.
     rows = rows.select(
         "*",
         F.lag("_n", history).over(per_user).alias("_n0"),
         F.lag("_sum", history).over(per_user).alias("_sum0"),
         F.lag("_squares", history).over(per_user).alias("_squares0"),
-        F.collect_list("event_us").over(remembered).alias("_times"),
         F.collect_list("status").over(per_user.rowsBetween(1 - STATUS_TAIL, 0)).alias("recent_statuses"),
     )
+    if order == "event_time":
+        rows = _counts_by_time(rows, seg.keys, history)
+    else:
+        rows = _counts_by_arrival(rows, per_user.rowsBetween(-history, -1))
+
     zero = F.lit(0).cast("decimal(38,0)")
     total = (F.col("_sum") - F.coalesce("_sum0", zero)).cast("decimal(38,0)")
     squares = (F.col("_squares") - F.coalesce("_squares0", zero)).cast("decimal(38,0)")
-    now, times = F.col("event_us"), F.col("_times")
-    ordered = order == "event_time"
     rows = rows.select(
         "*",
         (F.col("_n") - F.coalesce("_n0", F.lit(0))).alias("hist_n"),
         total.alias("hist_cents"),
         squares.alias("_hist_squares"),
-        _count_within(times, now, HOUR_US, history, ordered).alias("prior_hour"),
-        _count_within(times, now, MINUTE_US, history, ordered).alias("prior_minute"),
     )
     spread = F.col("hist_n") * F.col("_hist_squares") - F.col("hist_cents") * F.col("hist_cents")
-    rows = rows.withColumn("hist_spread", spread.cast("decimal(38,0)")).drop("_times")
+    rows = rows.withColumn("hist_spread", spread.cast("decimal(38,0)"))
     # Last, because it needs another sort: the exchange above already keeps (user, merchant) together.
     visits = F.sum("visits").over(per_merchant.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.select("*", (visits - F.col("visits")).alias("merchant_prior"))

@@ -20,6 +20,7 @@ from fraudloom.session import checkpoint_root
 SEGMENT = "segment"
 IS_CONTEXT = "is_context"
 SAMPLES_PER_SEGMENT = 32
+SEGMENTS_PER_LIMIT = 4  # small enough that hashing them to partitions comes out even
 MIN_HOT_ROWS = 50_000
 
 
@@ -79,7 +80,7 @@ def segment_hot_keys(
     checkpoint_root(spark)
     hot = counts.filter((F.col("rows") > limit) & F.col(key).isNotNull()).select(key)
     place = F.struct(*order)
-    every = max(1, limit // SAMPLES_PER_SEGMENT)
+    every = max(1, limit // (SAMPLES_PER_SEGMENT * SEGMENTS_PER_LIMIT))
     cuts = (
         df.join(F.broadcast(hot), key, "left_semi")
         .filter(F.pmod(F.xxhash64(key, *order), F.lit(every)) == 0)
