@@ -49,14 +49,12 @@ def hot_limit(spark: SparkSession, total: int, floor: int) -> int:
     return max(floor, total // (4 * partitions_hint(spark)))
 
 
-def position_in(cuts: Column, value: Column, most: int, inclusive: bool = True) -> Column:
-    """How many of the sorted ``cuts`` are <= ``value`` (< when not inclusive), by binary search."""
+def position_in(cuts: Column, value: Column, most: int) -> Column:
+    """How many of the sorted ``cuts`` are <= ``value``, by binary search."""
     steps = F.array(*[F.lit(1 << bit) for bit in range(max(1, most).bit_length() - 1, -1, -1)])
 
     def step(found: Column, jump: Column) -> Column:
-        cut = F.get(cuts, found + jump - 1)
-        below = cut <= value if inclusive else cut < value
-        return F.when(below, found + jump).otherwise(found)
+        return F.when(F.get(cuts, found + jump - 1) <= value, found + jump).otherwise(found)
 
     return F.aggregate(steps, F.lit(0), step)
 
