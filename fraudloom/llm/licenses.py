@@ -40,7 +40,7 @@ PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all r
 
 #: Wording of public license notices, by label.
 TEMPLATES = {
-    "apache-2.0": "licensed under the apache license <<beginOptional>>,<<endOptional>> version 2.0",
+    "apache": "licensed under <<beginOptional>>the<<endOptional>> apache license <<beginOptional>>version 2.0<<endOptional>>",
     "apache-2.0-notice": (
         "you may not use this file except in compliance with the license <<var;name=link;min=0;max=20>> unless required by "
         "applicable law or agreed to in writing"
