@@ -14,6 +14,10 @@ HIGH_QUANTILE = 0.95
 QUANTILE_ACCURACY = 100_000
 
 
+def _clock(as_of: Column | None) -> Column:
+    return F.current_timestamp() if as_of is None else as_of
+
+
 def fraud_rate_pct(fraud_txns: Column, txn_count: Column) -> Column:
     return percent(fraud_txns, txn_count, 2)
 
@@ -35,7 +39,10 @@ def _since(processed: DataFrame, as_of: Column, days: int) -> DataFrame:
 
 
 def merchant_metrics(processed: DataFrame, as_of: Column, days: int = 1) -> DataFrame:
-    """Per merchant and day: volume, outcome and flags. Complete days, so a refresh never shrinks one."""
+    """Per merchant and day: volume, outcome and flags. Complete days, so a refresh never shrinks one.
+
+    ``updated_at`` is the clock ``as_of``.
+    """
     return _since(processed, as_of, days).groupBy("merchant", "window_date").agg(
         F.max("merchant_category").alias("merchant_category"),
         F.count("*").alias("txn_count"),
@@ -44,19 +51,31 @@ def merchant_metrics(processed: DataFrame, as_of: Column, days: int = 1) -> Data
         F.count_if(F.col("status") == "SUCCESS").alias("success_count"),
         F.count_if(F.col("status") == "FAILED").alias("failed_count"),
         F.count_if("is_flagged").alias("fraud_count"),
-    )
+    ).withColumn("updated_at", as_of)
 
 
 def customer_metrics(processed: DataFrame, as_of: Column, days: int = 1) -> DataFrame:
-    """Per user and day: volume, spread and flags."""
-    return _since(processed, as_of, days).groupBy("user_id", "window_date").agg(
-        F.count("*").alias("txn_count"),
-        F.sum("amount").cast("decimal(18,2)").alias("total_amount"),
-        mean_money(F.col("amount")).alias("avg_amount"),
-        F.countDistinct("city").alias("distinct_cities"),
-        F.countDistinct("device").alias("distinct_devices"),
-        F.count_if("is_flagged").alias("fraud_count"),
+    """Per user and day: volume, spread and flags; ``updated_at`` is the clock ``as_of``.
+
+    Rows shrink to one per city first, and devices are counted apart, so no row is copied per count.
+    """
+    rows, day = _since(processed, as_of, days), ("user_id", "window_date")
+    by_city = rows.groupBy(*day, "city").agg(
+        F.count("*").alias("n"), F.count("amount").alias("amounts"), F.sum("amount").alias("total"),
+        F.count_if("is_flagged").alias("flagged"))
+    total = F.sum("total")
+    base = by_city.groupBy(*day).agg(
+        F.sum("n").alias("txn_count"),
+        total.cast("decimal(18,2)").alias("total_amount"),
+        money(half_up((total * 100).cast("decimal(38,0)"), F.nullif(F.sum("amounts"), F.lit(0)))).alias("avg_amount"),
+        F.count("city").alias("distinct_cities"),
+        F.sum("flagged").alias("fraud_count"),
     )
+    devices = rows.select(*day, "device").distinct().groupBy(*day).agg(F.count("device").alias("distinct_devices"))
+    same = base["user_id"].eqNullSafe(devices["user_id"]) & base["window_date"].eqNullSafe(devices["window_date"])
+    return base.join(devices, same).select(
+        *[base[c] for c in ("user_id", "window_date", "txn_count", "total_amount", "avg_amount", "distinct_cities")],
+        "distinct_devices", "fraud_count", as_of.alias("updated_at"))
 
 
 def fraud_by_user(fraud: DataFrame) -> DataFrame:
@@ -86,8 +105,8 @@ def join_merchant_fraud(merchants: DataFrame, by_merchant: DataFrame) -> DataFra
     return merchants.join(by_merchant, "merchant", "left").fillna({"fraud_txns": 0})
 
 
-def customer_profile(processed: DataFrame, fraud: DataFrame) -> DataFrame:
-    """Per-user spending baseline and fraud rate."""
+def customer_profile(processed: DataFrame, fraud: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Per-user spending baseline and fraud rate; ``computed_at`` is the clock ``as_of``."""
     amount = F.col("amount")
     quantile = F.percentile_approx(cents(amount), HIGH_QUANTILE, QUANTILE_ACCURACY)
     named = F.when(F.col("user_name").isNotNull(), F.struct("event_time", "transaction_id"))
@@ -107,7 +126,8 @@ def customer_profile(processed: DataFrame, fraud: DataFrame) -> DataFrame:
         F.countDistinct("device").alias("distinct_devices"),
     )
     joined = join_customer_fraud(base.join(spread, "user_id"), fraud)
-    return joined.withColumn("fraud_rate_pct", fraud_rate_pct(F.col("fraud_txns"), F.col("txn_count")))
+    return joined.withColumns({
+        "fraud_rate_pct": fraud_rate_pct(F.col("fraud_txns"), F.col("txn_count")), "computed_at": _clock(as_of)})
 
 
 def merchant_aggregate(processed: DataFrame) -> DataFrame:
@@ -126,11 +146,11 @@ def merchant_aggregate(processed: DataFrame) -> DataFrame:
     )
 
 
-def merchant_risk(processed: DataFrame, fraud: DataFrame) -> DataFrame:
-    """Per-merchant volume, fraud rate and tier."""
+def merchant_risk(processed: DataFrame, fraud: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Per-merchant volume, fraud rate and tier; ``computed_at`` is the clock ``as_of``."""
     joined = join_merchant_fraud(merchant_aggregate(processed), fraud_by_merchant(fraud, processed))
     rated = joined.withColumn("fraud_rate_pct", fraud_rate_pct(F.col("fraud_txns"), F.col("txn_count")))
-    return rated.withColumn("risk_tier", risk_tier(F.col("fraud_rate_pct")))
+    return rated.withColumns({"risk_tier": risk_tier(F.col("fraud_rate_pct")), "computed_at": _clock(as_of)})
 
 
 def top_risky_merchants(risk: DataFrame, k: int = 5) -> DataFrame:

@@ -14,14 +14,13 @@ from fraudloom.functions import clock
 from fraudloom.functions.exact import cents, half_up, money
 from fraudloom.functions.geo import haversine_km
 from fraudloom.plans.hot_keys import IS_CONTEXT, SEGMENT, running_base, segment_hot_keys
-from fraudloom.schemas import FEATURES, LIGHT_FEATURES
+from fraudloom.schemas import FEATURES, LIGHT_FEATURES, STATUS_TAIL
 
-# History length, window lengths, statuses remembered.
+# History length, window lengths.
 HISTORY = 200
 LIGHT_HISTORY = 100
 HOUR_US = 3600 * clock.SECOND_US
 MINUTE_US = 60 * clock.SECOND_US
-STATUS_TAIL = 10
 
 USER = "user_id"
 INPUTS = ("seq", "event_us", "amount", "merchant", "device", "city", "latitude", "longitude", "status")
@@ -63,9 +62,11 @@ def _counts_by_arrival(rows: DataFrame, remembered: WindowSpec) -> DataFrame:
     return rows.select("*", recent(HOUR_US).alias("prior_hour"), recent(MINUTE_US).alias("prior_minute")).drop("_times")
 
 
-def history_columns(txns: DataFrame, history: int, order: str, hot_rows: int | None) -> DataFrame:
+def history_columns(
+    txns: DataFrame, history: int, order: str, hot_rows: int | None, tail: int = STATUS_TAIL
+) -> DataFrame:
     by = order_columns(order)
-    context = max(history, STATUS_TAIL)
+    context = max(history, tail)
     seg = segment_hot_keys(txns, USER, by, context, INPUTS, hot_rows)
     rows = seg.rows
     if seg.split:
@@ -106,7 +107,7 @@ def history_columns(txns: DataFrame, history: int, order: str, hot_rows: int | N
         F.lag("_n", history).over(per_user).alias("_n0"),
         F.lag("_sum", history).over(per_user).alias("_sum0"),
         F.lag("_squares", history).over(per_user).alias("_squares0"),
-        F.collect_list("status").over(per_user.rowsBetween(1 - STATUS_TAIL, 0)).alias("recent_statuses"),
+        F.collect_list("status").over(per_user.rowsBetween(1 - tail, 0)).alias("recent_statuses"),
     )
     if order == "event_time":
         rows = _counts_by_time(rows, seg.keys, history)
@@ -132,14 +133,19 @@ def history_columns(txns: DataFrame, history: int, order: str, hot_rows: int | N
     return rows.select(*txns.columns, *HISTORY_COLUMNS)
 
 
-def derive_features(rows: DataFrame) -> DataFrame:
-    """The features from a transaction and its history columns."""
+def derive_features(rows: DataFrame, tail: int = STATUS_TAIL) -> DataFrame:
+    """The features from a transaction and its history columns.
+
+    ``amount_value``, where there is one, stands in for an amount that no money column holds.
+    """
     amount, n = F.col("amount"), F.col("hist_n")
     mean_cents = F.when(n > 0, half_up(F.col("hist_cents"), F.greatest(n, F.lit(1))))
-    deviation = n * cents(amount).cast("decimal(19,0)") - F.col("hist_cents")
+    deviation = (n * cents(amount).cast("decimal(19,0)") - F.col("hist_cents")).cast("double")
+    if "amount_value" in rows.columns:
+        deviation = F.coalesce(deviation, n * F.col("amount_value") * 100 - F.col("hist_cents").cast("double"))
     zscore = F.when(
         (n >= 2) & (F.col("hist_spread") > 0),
-        F.round(deviation.cast("double") / F.sqrt(F.col("hist_spread").cast("double")), 4),
+        F.round(deviation / F.sqrt(F.col("hist_spread").cast("double")), 4),
     ).otherwise(F.lit(0.0))
 
     def changed(column: str) -> Column:
@@ -162,14 +168,16 @@ def derive_features(rows: DataFrame) -> DataFrame:
         "km_from_prev": F.round(km, 2),
     }
     kept = [c for c in rows.columns if c not in HISTORY_COLUMNS]
-    return rows.select(*kept, *[made[name].alias(name) for name in FEATURES], "recent_statuses")
+    statuses = F.col("recent_statuses").alias("recent_statuses", metadata={"tail": tail})
+    return rows.select(*kept, *[made[name].alias(name) for name in FEATURES], statuses)
 
 
 def add_features(
-    txns: DataFrame, history: int = HISTORY, order: str = "event_time", hot_rows: int | None = None
+    txns: DataFrame, history: int = HISTORY, order: str = "event_time", hot_rows: int | None = None,
+    tail: int = STATUS_TAIL,
 ) -> DataFrame:
-    """Transactions with the eleven features and the last statuses (current one included)."""
-    return derive_features(history_columns(txns, history, order, hot_rows))
+    """Transactions with the eleven features and the last ``tail`` statuses (current one included)."""
+    return derive_features(history_columns(txns, history, order, hot_rows, tail), tail)
 
 
 def add_light_features(txns: DataFrame, hot_rows: int | None = None) -> DataFrame:

@@ -78,3 +78,8 @@ def running_counts(gated: DataFrame) -> list[Column]:
     """Metrics to attach with ``DataFrame.observe``; they come for free with the job that is running."""
     accepted = F.size("failed_checks") == 0
     return [F.count_if(accepted).alias("accepted"), F.count_if(~accepted).alias("rejected")]
+
+
+def flagged_count() -> Column:
+    """The same for events that passed the gate and were judged."""
+    return F.count_if("is_flagged").alias("flagged")

@@ -11,23 +11,41 @@ CORRUPT = "_corrupt"
 DEAD_LETTER_KEY = "unparseable"
 REPORT_CHARS = 200
 UNKNOWN_ERROR = "unknown"
+JSON_SPACE = " \t\n\r"
+
+
+def arrival_key() -> Column:
+    """One number per message that sorts by ingest time, topic, partition and offset."""
+    parts = (
+        (F.unix_micros("ingested_at"), 16), (F.pmod(F.crc32("topic"), F.lit(1000)), 3), (F.col("partition"), 5),
+        (F.col("offset"), 14),
+    )
+    digits = [F.lpad(F.coalesce(part, F.lit(0)).cast("string"), width, "0") for part, width in parts]
+    return F.concat(*digits).cast("decimal(38,0)")
 
 
 def _flatten(parsed: DataFrame) -> DataFrame:
     """Event fields as text columns next to payload, coordinates and error."""
-    fields = [F.col(f"evt.{f.name}").alias(f.name) for f in schemas.EVENT_SCHEMA.fields]
+    fields = [F.col(f"evt.event.{f.name}").alias(f.name) for f in schemas.EVENT_SCHEMA.fields]
     return parsed.select(*fields, F.col("value").alias("payload"), "topic", "partition", "offset", "ingested_at",
-                         F.col("offset").alias("seq"), "error")
+                         arrival_key().alias("seq"), "error")
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """Messages with their event fields as text columns and a parse ``error`` or null."""
-    schema = schemas.T.StructType([*schemas.EVENT_SCHEMA.fields,
-                                   schemas.T.StructField(CORRUPT, schemas.T.StringType())])
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    is_object = F.coalesce(F.ltrim("value").startswith("{"), F.lit(False))
-    error = F.when(F.col("evt").isNull() | F.col(f"evt.{CORRUPT}").isNotNull(), F.when(
-        is_object, "malformed JSON").otherwise("not a JSON object")).when(~is_object, "not a JSON object")
+    """Messages with their event fields as text columns and a parse ``error`` or null.
+
+    A message is read as one member of an object whose other member repeats the message's hash. Text
+    after the event breaks that object or ends it before the hash, so it is not lost unseen.
+    """
+    whole = schemas.T.StructType([schemas.T.StructField("event", schemas.EVENT_SCHEMA), *[
+        schemas.T.StructField(name, schemas.T.StringType()) for name in ("end", CORRUPT)]])
+    mark = F.xxhash64("value").cast("string")
+    wrapped = F.concat(F.lit('{"event":'), "value", F.lit(',"end":"'), mark, F.lit('"}'))
+    parsed = F.from_json(wrapped, whole, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"})
+    is_object = F.coalesce(F.ltrim("value", F.lit(JSON_SPACE)).startswith("{"), F.lit(False))
+    broken = F.col("evt.event").isNull() | F.col(f"evt.{CORRUPT}").isNotNull() | ~F.col("evt.end").eqNullSafe(mark)
+    error = F.when(~is_object, "not a JSON object").when(broken, "malformed JSON")
     # A generator, so that the parse is not copied into every filter on its fields.
     return messages.select("*", F.explode(F.array(parsed)).alias("evt")).withColumn("error", error).transform(_flatten)
 

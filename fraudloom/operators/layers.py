@@ -1,7 +1,7 @@
 """Rows of the processed and fraud layers, outgoing messages, and how tables are written."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudloom import schemas
@@ -24,7 +24,11 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, key: str, order: str =
 
 
 def processed_rows(flagged: DataFrame) -> DataFrame:
-    """Processed layer: event fields, time, features, flags and score."""
+    """Processed layer: event fields, time, features, flags and score.
+
+    Events whose amount the table cannot hold are not in it; they are in quarantine.
+    """
+    flagged = flagged.filter(F.col("amount").isNotNull())
     score = F.col("fraud_score") if "fraud_score" in flagged.columns else F.lit(None).cast("double")
     return flagged.select(
         *schemas.EVENT_FIELDS, F.timestamp_micros("event_us").alias("event_time"), *schemas.FEATURES,
@@ -41,22 +45,39 @@ def fraud_rows(flagged: DataFrame) -> DataFrame:
         F.col(DETECTED).alias("detected_at"))
 
 
-def _members():
-    """The payload's members with their JSON types, without the ground-truth label."""
-    members = F.from_json("payload", "map<string,variant>")
-    return F.map_filter(members, lambda name, _: name != schemas.LABEL_FIELD)
+def _last_of_each(members: Column) -> Column:
+    """Map of the members; of a name given twice the last counts, as in the usual JSON readers."""
+    def stays(member: Column, at: Column) -> Column:
+        later = F.slice(members, at + 2, F.size(members))
+        return ~F.exists(later, lambda other: other["key"] == member["key"])
+
+    return F.map_from_entries(F.filter(members, stays))
+
+
+def _members() -> Column:
+    """The payload's members with their JSON types, without the ground-truth label.
+
+    Where an inner object repeats a name, which typed values cannot hold, all members are text.
+    """
+    exact = F.from_json("payload", "map<string,variant>")
+    text = F.from_json("payload", "map<string,string>")
+    as_text = F.transform(F.map_entries(text), lambda m: F.struct(
+        m["key"].alias("key"), F.to_variant_object(F.array(m["value"])).alias("value")))
+    as_text = F.transform(as_text, lambda m: F.struct(m["key"].alias("key"), F.variant_get(m["value"], "$[0]", "variant").alias("value")))
+    members = F.coalesce(F.map_entries(exact), as_text)
+    return F.filter(members, lambda member: member["key"] != schemas.LABEL_FIELD)
 
 
 def cleaned_messages(flagged: DataFrame) -> DataFrame:
     """Every valid event as a message keyed by user."""
-    return flagged.select(F.col("user_id").alias("key"), F.to_json(_members()).alias("value"))
+    return flagged.select(F.col("user_id").alias("key"), F.to_json(_last_of_each(_members())).alias("value"))
 
 
 def suspicious_messages(flagged: DataFrame) -> DataFrame:
-    """Events with findings as messages keyed by user."""
-    found = F.create_map(F.lit("fraud_findings"), F.to_variant_object("findings"))
+    """Events with findings as messages keyed by user. A ``fraud_findings`` of the payload is replaced."""
+    found = F.array(F.struct(F.lit("fraud_findings").alias("key"), F.to_variant_object("findings").alias("value")))
     return flagged.filter("is_flagged").select(
-        F.col("user_id").alias("key"), F.to_json(F.map_concat(_members(), found)).alias("value"))
+        F.col("user_id").alias("key"), F.to_json(_last_of_each(F.concat(_members(), found))).alias("value"))
 
 
 def retain_latest(table: DataFrame, keep: int = 20_000, time: str = "event_time",
@@ -88,11 +109,12 @@ def build_layers(
     txns = quality.typed(valid)
     if dedupe:
         txns = first_by_key(txns, "transaction_id")
-    flagged = rules.evaluate(features.add_features(txns, order=order), limits)
+    txns = features.add_features(txns, order=order, tail=rules.statuses_needed(limits))
+    flagged = rules.evaluate(txns, limits)
     return {
         "raw": ingest.raw_rows(gated),
         "dead_letters": ingest.dead_letters(gated),
-        "rejected": quality.rejected_rows(rejected),
+        "rejected": quality.rejected_rows(rejected).unionByName(quality.out_of_range_rows(valid)),
         "flagged": flagged,
         "processed": processed_rows(flagged),
         "fraud_events": fraud_rows(flagged),
@@ -108,8 +130,12 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def update_scores(processed: DataFrame, scores: DataFrame) -> DataFrame:
-    """Processed rows with ``fraud_score`` and ``ml_flagged`` replaced where ``scores`` has the key."""
-    new = scores.select("transaction_id", F.col("fraud_score").alias("_score"), F.col("ml_flagged").alias("_flag"))
+    """Processed rows with ``fraud_score`` and ``ml_flagged`` replaced where ``scores`` has the key.
+
+    Of several scores for one key the highest counts.
+    """
+    best = scores.groupBy("transaction_id").agg(F.max(F.struct("fraud_score", "ml_flagged")).alias("s"))
+    new = best.select("transaction_id", "s.*").select("transaction_id", F.col("fraud_score").alias("_score"), F.col("ml_flagged").alias("_flag"))
     joined = processed.join(new, "transaction_id", "left")
     return joined.withColumns({
         "fraud_score": F.coalesce("_score", "fraud_score"),

@@ -14,6 +14,7 @@ from fraudloom import schemas
 from fraudloom.operators.ingest import injected
 from fraudloom.operators.rules import DEFAULT
 from fraudloom.plans.ranges import running_totals, smallest_share
+from fraudloom.session import checkpoint_root
 
 # Spark's trees have no missing branch: these two are null on a user's first event, so they are filled
 # and get an indicator each.
@@ -87,7 +88,7 @@ def require_enough(labelled: DataFrame) -> tuple[int, int]:
 def stratified_split(labelled: DataFrame, share: tuple[int, int] = TRAIN_SHARE, seed: int = SEED) -> DataFrame:
     """Add ``is_train``: exactly ``floor(share)`` rows of each label, chosen by hashed id."""
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.col("transaction_id")))
-    cuts = smallest_share(labelled, "label", hashed, share)
+    cuts = smallest_share(labelled, "label", hashed, share, labelled.count())
     return (labelled.join(F.broadcast(cuts), "label", "left")
             .withColumn("is_train", F.coalesce(hashed <= F.col("cut"), F.lit(False))).drop("cut"))
 
@@ -139,6 +140,7 @@ def evaluate(scored: DataFrame, predicted: Column, name: str) -> DataFrame:
 
 def average_precision(scored: DataFrame, score_col: str = "fraud_score", rows_per_range: int = 50_000) -> DataFrame:
     """Average precision: the step sum over distinct scores, highest first."""
+    checkpoint_root(scored.sparkSession)
     grouped = scored.groupBy(F.col(score_col).alias("score")).agg(
         F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("pos")).checkpoint()
     totals = running_totals(grouped, "score", ("n", "pos"), grouped.count(), rows_per_range)
@@ -175,6 +177,7 @@ def publish(processed: DataFrame, raw: DataFrame, path: str, trained_at: str,
             params: TreeParams = TreeParams(), threshold: float = DEFAULT.score) -> dict:
     """Train on three quarters, evaluate on the rest against the rules, save model and metadata."""
     spark = processed.sparkSession
+    checkpoint_root(spark)
     labelled = join_features_label(processed, raw).checkpoint()
     rows, positives = require_enough(labelled)
     halves = stratified_split(labelled).checkpoint()

@@ -13,6 +13,7 @@ NUMBER_FORM = (
 )
 USUAL_NUMBER = r"^[+-]?\d{1,15}(\.\d{1,9})?$"
 MIN_HANDLE = 4  # fixed value
+OUT_OF_RANGE = "AMOUNT_OUT_OF_RANGE"  # of events that pass the gate and that no table holds
 
 
 def _blank(column: str) -> Column:
@@ -112,17 +113,31 @@ def rejected_with(rejected: DataFrame, code: str) -> DataFrame:
     return rejected.filter(F.array_contains("failed_checks", code))
 
 
+def _money() -> Column:
+    """The amount as money; null if it is NaN, infinite or too large."""
+    value = F.col("reading.amount")
+    plain = F.trim(F.replace("amount", F.lit("_"), F.lit("")))
+    return F.when(~F.isnan(value) & (F.abs(value) < 1e12), F.coalesce(
+        plain.try_cast(schemas.MONEY), F.round(value, 2).try_cast(schemas.MONEY)))
+
+
+def out_of_range_rows(valid: DataFrame) -> DataFrame:
+    """Quarantine rows of events that pass the gate with an amount the processed table cannot hold."""
+    odd = valid.filter(_money().isNull())
+    return rejected_rows(odd.withColumn("failed_checks", F.array(F.lit(OUT_OF_RANGE))))
+
+
 def typed(valid: DataFrame) -> DataFrame:
     """Valid events as typed transactions, ready for the features.
 
-    An amount that no money column can hold (NaN, infinite, too large) passes the gate and becomes null.
+    An amount that no money column can hold passes the gate. ``amount`` is null then; the rules look at
+    ``amount_value``, which is the number as read wherever it is finite.
     """
     value = F.col("reading.amount")
-    plain = F.trim(F.replace("amount", F.lit("_"), F.lit("")))
-    amount = F.when(~F.isnan(value) & (F.abs(value) < 1e12), F.coalesce(
-        plain.try_cast(schemas.MONEY), F.round(value, 2).try_cast(schemas.MONEY)))
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
     return valid.withColumns({
-        "amount": amount,
+        "amount": _money(),
+        "amount_value": F.when(finite, value),
         "latitude": F.col("latitude").try_cast("double"),
         "longitude": F.col("longitude").try_cast("double"),
         "event_us": F.col("reading.time.event_us"),

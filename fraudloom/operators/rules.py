@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudloom.functions.exact import cents
-from fraudloom.schemas import FINDING
+from fraudloom.schemas import FINDING, STATUS_TAIL
 
 
 @dataclass(frozen=True)
@@ -37,15 +37,29 @@ SEVERITIES = {
 }
 
 
+def statuses_needed(limits: Thresholds) -> int:
+    """Statuses a row must remember, the current one included."""
+    return max(STATUS_TAIL, limits.failed_burst + 1)
+
+
+def amount_value(columns: list[str]) -> Column:
+    """The amount as a double, also where no money column holds it."""
+    exact = F.col("amount").cast("double")
+    return F.coalesce(exact, "amount_value") if "amount_value" in columns else exact
+
+
 def speed_kmh() -> Column:
     seconds = F.col("seconds_since_prev")
     return F.when(seconds > 0, F.col("km_from_prev") / (seconds / 3600.0))
 
 
-def conditions(limits: Thresholds = DEFAULT) -> dict[str, Column]:
-    """When each rule fires. Never null."""
+def conditions(limits: Thresholds = DEFAULT, value: Column | None = None) -> dict[str, Column]:
+    """When each rule fires. Never null. ``value`` stands in where the amount is null."""
     average = cents(F.col("avg_amount_30d"))
-    multiple = (average > 0) & (cents(F.col("amount")) >= average * limits.times_average)
+    enough = cents(F.col("amount")) >= average * limits.times_average
+    if value is not None:
+        enough = F.coalesce(enough, value >= F.col("avg_amount_30d").cast("double") * limits.times_average)
+    multiple = (average > 0) & enough
     statuses, burst = F.col("recent_statuses"), limits.failed_burst
     before = F.slice(statuses, F.greatest(F.size(statuses) - burst, F.lit(1)), burst)
     failed = (F.size(statuses) > burst) & F.forall(before, lambda s: s == "FAILED")
@@ -65,15 +79,16 @@ def _number(value: Column, places: int = 0, grouped: bool = False) -> Column:
     return text if grouped else F.replace(text, F.lit(","), F.lit(""))
 
 
-def reasons(limits: Thresholds = DEFAULT, light: bool = False) -> dict[str, Column]:
+def reasons(limits: Thresholds = DEFAULT, light: bool = False, amount: Column | None = None) -> dict[str, Column]:
     """The text of each finding."""
+    amount = F.col("amount").cast("double") if amount is None else amount
     lit, col = F.lit, F.col
     rupee = "Rs." if light else "₹"
     travel = F.concat(
         _number(col("km_from_prev")), lit(" km in "), col("seconds_since_prev").cast("string"), lit("s (~"),
         _number(speed_kmh()), lit(" km/h)"), lit("" if light else " between consecutive txns"))
     value = F.concat(
-        lit(rupee), _number(col("amount").cast("double"), 0, True), lit(f" vs 30d avg {rupee}"),
+        lit(rupee), _number(amount, 0, True), lit(f" vs 30d avg {rupee}"),
         _number(col("avg_amount_30d").cast("double"), 0, True), lit(" (z="),
         _number(col("amount_zscore"), 1), lit(")"))
     city = F.coalesce("city", lit("None"))
@@ -102,11 +117,15 @@ def evaluate(
 
     A null score gives no finding, so that a missing model leaves the rules working.
     """
-    text = reasons(limits, light)
+    remembered = features.schema["recent_statuses"].metadata.get("tail", STATUS_TAIL)
+    if limits.failed_burst >= remembered:
+        raise ValueError(f"failed_burst={limits.failed_burst} needs features with tail > {limits.failed_burst}")
+    value = amount_value(features.columns)
+    text = reasons(limits, light, value)
     made = [
         F.when(when, F.struct(F.lit(rule).alias("rule"), F.lit(SEVERITIES[rule]).alias("severity"),
                               text[rule].alias("reason")))
-        for rule, when in conditions(limits).items()
+        for rule, when in conditions(limits, value).items()
     ]
     ml_flagged = F.lit(False)
     if score_col:

@@ -11,6 +11,7 @@ stays, and the result does not depend on them.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,6 +60,25 @@ def position_in(cuts: Column, value: Column, most: int) -> Column:
     return F.aggregate(steps, F.lit(0), step)
 
 
+def in_segments(df: DataFrame, key: str, place: Column, cuts: DataFrame) -> DataFrame:
+    """Add ``is_hot`` and the segment of each row.
+
+    The search has two levels: a row meets every ``step``-th cut of its key first, and then only the
+    cuts of that part, so that it never carries a list longer than about the root of all its cuts.
+    """
+    most = cuts.agg(F.max(F.size("cuts")).alias("most")).first()["most"] or 1
+    step = max(1, isqrt(most))
+    coarse = cuts.select(key, F.filter("cuts", lambda _, i: i % step == step - 1).alias("coarse"))
+    parts = F.sequence(F.lit(0), F.call_function("div", F.size("cuts"), F.lit(step)).cast("int"))
+    fine = cuts.select(key, "cuts", F.explode(parts).alias("part")).select(
+        key, "part", F.slice("cuts", F.col("part") * step + 1, F.lit(step)).alias("fine"))
+    found = df.join(F.broadcast(coarse), key, "left").withColumn("is_hot", F.col("coarse").isNotNull())
+    part = F.when(F.col("is_hot"), position_in(F.col("coarse"), place, most // step + 1))
+    found = found.withColumn("part", part).drop("coarse").join(F.broadcast(fine), [key, "part"], "left")
+    at = F.col("part") * step + position_in(F.col("fine"), place, step)
+    return found.withColumn(SEGMENT, F.when(F.col("is_hot"), at).otherwise(0)).drop("part", "fine")
+
+
 def segment_hot_keys(
     df: DataFrame, key: str, order: tuple[str, ...], history: int, context_columns: tuple[str, ...],
     hot_rows: int | None = None,
@@ -88,13 +108,7 @@ def segment_hot_keys(
                 .alias("cuts"))
         .checkpoint()
     )
-    most = cuts.agg(F.max(F.size("cuts")).alias("most")).first()["most"] or 1
-    placed = (
-        df.join(F.broadcast(cuts), key, "left")
-        .withColumn("is_hot", F.col("cuts").isNotNull())
-        .withColumn(SEGMENT, F.when(F.col("is_hot"), position_in(F.col("cuts"), place, most)).otherwise(0))
-        .drop("cuts")
-    )
+    placed = in_segments(df, key, place, cuts)
     hot_rows_only = placed.filter("is_hot").select(key, SEGMENT, *context_columns)
 
     # Rows before each segment, and the later segments that still need rows of this one: normally

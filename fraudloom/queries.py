@@ -1,6 +1,7 @@
 """Every operator as a query over the tables of a data folder."""
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -58,16 +59,21 @@ def fraud(spark: SparkSession, d: str) -> DataFrame:
 
 
 def both(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = flagged(spark, d)
+    """Processed and fraud layer of features that are computed once."""
+    rows = layers.staged(flagged(spark, d).drop("recent_statuses"), "flagged")
     return layers.processed_rows(rows), layers.fraud_rows(rows)
 
 
+def clock() -> Column:
+    return F.lit(adapter.AS_OF).cast("timestamp")
+
+
 def profile(spark: SparkSession, d: str) -> DataFrame:
-    return curated.customer_profile(*both(spark, d))
+    return curated.customer_profile(*both(spark, d), clock())
 
 
 def risk(spark: SparkSession, d: str) -> DataFrame:
-    return curated.merchant_risk(*both(spark, d))
+    return curated.merchant_risk(*both(spark, d), clock())
 
 
 def gated(spark: SparkSession, d: str, profile_name: str = "full") -> DataFrame:
@@ -362,37 +368,47 @@ def latencies(spark: SparkSession, d: str) -> DataFrame:
 
 def health_running_counts(spark: SparkSession, d: str) -> DataFrame:
     """Counts observed while the gated events are written, without a job of their own."""
-    seen = Observation("gate")
+    gate, judged = Observation("gate"), Observation("judged")
     rows = quality.gate(ingest.events(parsed(spark, d)))
-    rows.observe(seen, *health.running_counts(rows)).write.format("noop").mode("overwrite").save()
-    got = seen.get
-    return spark.createDataFrame([(got["accepted"], got["rejected"])], "accepted bigint, rejected bigint")
+    valid, _ = quality.dq_split(layers.staged(rows.observe(gate, *health.running_counts(rows)), "gated"))
+    found = rules.evaluate(features.add_features(layers.first_by_key(quality.typed(valid), "transaction_id")))
+    found.observe(judged, health.flagged_count()).write.format("noop").mode("overwrite").save()
+    got = [(gate.get["accepted"], gate.get["rejected"], judged.get["flagged"])]
+    return spark.createDataFrame(got, "accepted bigint, rejected bigint, flagged bigint")
 
 
 # ---- model -------------------------------------------------------------------------------------------------------
 
-# Fewer trees than the library's default of 300, so that a registered query ends in seconds.
-QUERY_TREES = model.TreeParams(trees=20)
-_trained: dict[tuple[str, str], model.GBTClassificationModel] = {}
-
-
 def halves(spark: SparkSession, d: str) -> DataFrame:
     checkpoint_root(spark)
     return model.stratified_split(labelled(spark, d).checkpoint())
 
 
+def published(spark: SparkSession, d: str) -> tuple:
+    """The model and metadata that the training job of this application published for a data folder."""
+    name = hashlib.sha256(f"{spark.sparkContext.applicationId} {d}".encode()).hexdigest()
+    path = f"{checkpoint_root(spark).rstrip('/')}/model-{name}"
+    if model.load_model(spark, path)[0] is None:
+        out = all_layers(spark, d)
+        model.publish(out["processed"], out["raw"], path, adapter.AS_OF)
+    return model.load_model(spark, path)
+
+
 def trained(spark: SparkSession, d: str):
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _trained:
-        checkpoint_root(spark)
-        _trained[key] = model.train_model(halves(spark, d).filter("is_train").checkpoint(), QUERY_TREES)
-    return _trained[key]
+    return published(spark, d)[0]
 
 
 def ml_train(spark: SparkSession, d: str) -> DataFrame:
     got = trained(spark, d)
-    rows = [(got.getNumTrees, int(got.totalNumNodes), int(got.numFeatures))]
-    return spark.createDataFrame(rows, "trees int, nodes int, inputs int")
+    rows = [(got.getNumTrees, int(got.numFeatures), got.totalNumNodes > got.getNumTrees)]
+    return spark.createDataFrame(rows, "trees int, inputs int, has_splits boolean")
+
+
+def ml_importances(spark: SparkSession, d: str) -> DataFrame:
+    found = model.importances(spark, trained(spark, d))
+    return found.agg(
+        F.array_join(F.array_sort(F.collect_list("feature")), ",").alias("features"),
+        F.round(F.sum("importance"), 6).alias("total"), F.bool_and(F.col("importance") >= 0).alias("none_negative"))
 
 
 def ml_vector(spark: SparkSession, d: str) -> DataFrame:
@@ -402,16 +418,13 @@ def ml_vector(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ml_score(spark: SparkSession, d: str) -> DataFrame:
-    test = halves(spark, d).filter("NOT is_train")
-    return model.score(test, trained(spark, d)).select("transaction_id", "label", "fraud_score")
+    """Every row with its score, which is shown by what holds for any model."""
+    scored = model.score(labelled(spark, d), trained(spark, d))
+    return scored.select("transaction_id", "label", F.col("fraud_score").between(0, 1).alias("is_probability"))
 
 
 def ml_metadata(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_folder(spark, "model")
-    got = trained(spark, d)
-    counts = model.gate_counts(labelled(spark, d)).first().asDict()
-    model.save_model(spark, got, {"features": list(schemas.MODEL_FEATURES), **counts}, path)
-    _, metadata = model.load_model(spark, path)
+    _, metadata = published(spark, d)
     return spark.createDataFrame(
         [(metadata["rows"], metadata["positives"], ",".join(metadata["features"]))],
         "rows bigint, positives bigint, features string")
@@ -429,7 +442,10 @@ def ml_pr_auc(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ml_backfill(spark: SparkSession, d: str) -> DataFrame:
-    return model.backfill_report(model.backfill(processed(spark, d), trained(spark, d)))
+    """Rows scored, and that the flags follow the threshold."""
+    done = model.backfill(processed(spark, d), trained(spark, d))
+    agree = F.bool_and(F.col("ml_flagged") == (F.col("fraud_score") >= rules.DEFAULT.score))
+    return done.agg(F.count("*").alias("updated"), agree.alias("flags_follow"))
 
 
 REGISTRY: dict[str, Query] = {
@@ -446,7 +462,7 @@ REGISTRY: dict[str, Query] = {
     "dlq_counts": lambda s, d: ingest.dlq_counts(ingest.dead_letters(parsed(s, d))),
     "archive_hourly": archive_hourly,
     "archive_scan": archive_scan,
-    "retain_latest": lambda s, d: layers.retain_latest(processed(s, d)).select("transaction_id", "event_time"),
+    "retain_latest": lambda s, d: layers.retain_latest(processed(s, d), keep=2_000).select("transaction_id", "event_time"),
     "ml_feature_scan": lambda s, d: model.feature_scan(processed(s, d)),
     "dq_failed_checks": lambda s, d: gated(s, d).select("seq", "failed_checks"),
     "dq_missing_txn": failing("MISSING_TRANSACTION_ID"),
@@ -538,7 +554,7 @@ REGISTRY: dict[str, Query] = {
     "ml_eval": lambda s, d: model.evaluate(stand_in_scores(s, d), F.col("fraud_score") >= 3.0, "score"),
     "ml_pr_auc": ml_pr_auc,
     "ml_vs_rules": lambda s, d: model.evaluate(labelled(s, d), F.col("rule_pred") == 1, "rules"),
-    "ml_importances": lambda s, d: model.importances(s, trained(s, d)),
+    "ml_importances": ml_importances,
     "ml_metadata": ml_metadata,
     "ml_score": ml_score,
     "ml_backfill": ml_backfill,

@@ -49,6 +49,9 @@ MODEL_FEATURES = (
 )
 FLAG_FEATURES = ("device_changed", "location_changed", "is_night", "is_weekend")
 
+# Fixed value: statuses remembered per user unless a rule needs more.
+STATUS_TAIL = 10
+
 # Fixed value: key of the ground-truth label inside a raw payload.
 LABEL_FIELD = "_injected_fraud"
 

@@ -1,7 +1,6 @@
 """Session settings and the shared scratch folder."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,17 +20,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder of its own.
-    """
+    """Folder all executors can reach: ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     root = root or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="fraudloom-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

@@ -1,7 +1,7 @@
 """Common table expressions: the adapter, the features, the rules and the layers in DuckDB SQL."""
 from __future__ import annotations
 
-from fraudloom.schemas import CITIES, EVENT_FIELDS
+from oracles.constants import CITIES, EVENT_FIELDS
 
 EPOCH = 1704067200000000
 HOUR, MINUTE = 3600000000, 60000000

@@ -1,12 +1,11 @@
 """One DuckDB statement per registered query."""
 from __future__ import annotations
 
-from fraudloom.operators.health import BUCKETS
-from fraudloom.schemas import FEATURES, LIGHT_FEATURES, MODEL_FEATURES
 from oracles.base import (
     CODES, DIRTY, FEATS, FLAGGED, FRAUD, GATED, LANDED, LIGHT_CODES, PIPELINE, PROFILES, RISKS, RULES, TXNS,
-    adapter, ctes, feats, findings, gated, verdicts,
+    EPOCH, adapter, ctes, feats, findings, gated, verdicts,
 )
+from oracles.constants import BUCKETS, FEATURES, LIGHT_FEATURES, MODEL_FEATURES
 
 Q: dict[str, str] = {}
 DOUBLES = ("amount", "avg_amount_30d")
@@ -63,7 +62,7 @@ SELECT transaction_id, seq AS "offset", {STRETCHED} AS ingested_at FROM landed
 WHERE {STRETCHED} >= (SELECT min({STRETCHED}) // 3600000000 * 3600000000 FROM landed) + 3600000000
   AND {STRETCHED} < (SELECT min({STRETCHED}) // 3600000000 * 3600000000 FROM landed) + 4 * 3600000000"""
 Q["retain_latest"] = TXNS + """
-SELECT transaction_id, event_us AS event_time FROM txns ORDER BY event_us DESC, transaction_id DESC LIMIT 20000"""
+SELECT transaction_id, event_us AS event_time FROM txns ORDER BY event_us DESC, transaction_id DESC LIMIT 2000"""
 FLAGS = ("device_changed", "location_changed", "is_night", "is_weekend")
 INPUTS = ", ".join(f"CAST({c} AS INT) AS {c}" if c in FLAGS else cols([c]) for c in MODEL_FEATURES)
 Q["ml_feature_scan"] = FEATS + f"SELECT transaction_id, {INPUTS} FROM feats"
@@ -131,25 +130,28 @@ LABEL = "CAST(injected IS NOT NULL AS INT)"
 Q["join_features_label"] = PIPELINE + f"""
 SELECT transaction_id, {INPUTS}, CAST(is_flagged AS INT) AS rule_pred, {LABEL} AS label FROM flagged"""
 Q["join_detection"] = PIPELINE + """
-SELECT l.injected AS injected_scenario, count(DISTINCT l.transaction_id) AS injected,
-  count(DISTINCT f.transaction_id) AS detected
-FROM landed l LEFT JOIN fraud f ON f.transaction_id = l.transaction_id WHERE l.injected IS NOT NULL GROUP BY 1 ORDER BY 1"""
+, planted AS (SELECT DISTINCT injected AS injected_scenario, transaction_id FROM landed WHERE injected IS NOT NULL),
+seen AS (SELECT *, transaction_id IN (SELECT transaction_id FROM fraud) AS caught FROM planted)
+SELECT injected_scenario, count(transaction_id) AS injected, count(transaction_id) FILTER (caught) AS detected
+FROM seen GROUP BY injected_scenario"""
 Q["update_scores"] = FEATS + """
 SELECT transaction_id, CASE WHEN payment_velocity > 0 THEN merchant_frequency / (merchant_frequency + 1e0) END AS fraud_score,
   payment_velocity > 0 AND merchant_frequency / (merchant_frequency + 1e0) >= 0.8 AS ml_flagged FROM feats"""
 SLOW = ctes(adapter(squeeze=10), feats(), verdicts())
 DAY = "strftime(make_timestamp(event_us), '%Y-%m-%d')"
 METRICS = f"""CAST(sum(amount) AS DOUBLE) AS total_amount, {mean_cents()} AS avg_amount"""
+DAY_US = 86400000000
+REFRESHED, COMPUTED = EPOCH + 2 * DAY_US + 9 * 3600000000, EPOCH + DAY_US
 MERCHANT_DAY = f"""SELECT merchant, {DAY} AS window_date, max(merchant_category) AS merchant_category, count(*) AS txn_count,
   {METRICS}, count(*) FILTER (status = 'SUCCESS') AS success_count, count(*) FILTER (status = 'FAILED') AS failed_count,
-  count(*) FILTER (is_flagged) AS fraud_count FROM flagged"""
+  count(*) FILTER (is_flagged) AS fraud_count, {REFRESHED} AS updated_at FROM flagged"""
 Q["merchant_metrics"] = SLOW + f"{MERCHANT_DAY} WHERE {DAY} >= '2024-01-02' GROUP BY 1, 2"
 Q["upsert_daily"] = SLOW + f"""
 SELECT * REPLACE (CASE WHEN window_date >= '2024-01-02' THEN txn_count ELSE 0 END AS txn_count)
 FROM ({MERCHANT_DAY} GROUP BY 1, 2)"""
 Q["customer_metrics"] = SLOW + f"""
 SELECT user_id, {DAY} AS window_date, count(*) AS txn_count, {METRICS}, count(DISTINCT city) AS distinct_cities,
-  count(DISTINCT device) AS distinct_devices, count(*) FILTER (is_flagged) AS fraud_count
+  count(DISTINCT device) AS distinct_devices, count(*) FILTER (is_flagged) AS fraud_count, {REFRESHED} AS updated_at
 FROM flagged WHERE {DAY} >= '2024-01-02' GROUP BY 1, 2"""
 Q["layer_counts"] = PIPELINE + """
 SELECT 'raw' AS layer, count(*) AS rows FROM landed UNION ALL SELECT 'processed', count(*) FROM flagged
@@ -157,8 +159,10 @@ UNION ALL SELECT 'rejected', count(*) FROM landed WHERE len(failed) > 0 UNION AL
 Q["city_membership"] = ctes(adapter(), DIRTY) + "SELECT seq, city FROM dirty WHERE city IN (SELECT city FROM cities)"
 
 # ---- curated -----------------------------------------------------------------------------------------
-Q["customer_profile"] = PROFILES + "SELECT * FROM profile"
-Q["merchant_risk"] = RISKS + "SELECT merchant, merchant_category, txn_count, total_amount, avg_amount, fraud_txns, fraud_rate_pct, risk_tier FROM risk"
+Q["customer_profile"] = PROFILES + f"SELECT *, {COMPUTED} AS computed_at FROM profile"
+Q["merchant_risk"] = RISKS + f"""
+SELECT merchant, merchant_category, txn_count, total_amount, avg_amount, fraud_txns, fraud_rate_pct, risk_tier,
+  {COMPUTED} AS computed_at FROM risk"""
 Q["risk_tier"] = RISKS + "SELECT merchant, fraud_rate_pct, risk_tier FROM risk"
 Q["fraud_rate_pct"] = PROFILES + "SELECT user_id, fraud_txns, txn_count, fraud_rate_pct FROM profile"
 Q["fraud_by_user"] = PROFILES + "SELECT user_id, fraud_txns FROM fraud_users"
@@ -261,8 +265,9 @@ SELECT window_start, window_end, {quantile(0.99)} FROM hist"""
 Q["health_latency_pcts"] = TXNS + histogram(
     f"unnest([{', '.join(f'ingested_us // 60000000 * 60000000 - {i * 60000000}' for i in range(5))}])", FIVE) + f"""
 SELECT window_start, window_end, {quantile(0.5)}, {quantile(0.95)}, {quantile(0.99)} FROM hist"""
-Q["health_running_counts"] = LANDED + """
-SELECT count(*) FILTER (len(failed) = 0) AS accepted, count(*) FILTER (len(failed) > 0) AS rejected FROM landed"""
+Q["health_running_counts"] = PIPELINE + """
+SELECT count(*) FILTER (len(failed) = 0) AS accepted, count(*) FILTER (len(failed) > 0) AS rejected,
+  (SELECT count(*) FROM flagged WHERE is_flagged) AS flagged FROM landed"""
 
 # ---- model -------------------------------------------------------------------------------------------
 VECTOR = ", ".join(f"CAST(coalesce(CAST({c} AS DOUBLE), 0) AS DOUBLE) AS x_{c}" for c in MODEL_FEATURES)
@@ -297,4 +302,10 @@ SELECT round(sum(pos * (CAST(cp AS DOUBLE) / CAST(cn AS DOUBLE))) / sum(pos), 9)
 Q["ml_metadata"] = LABELLED + f"""
 SELECT count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives, '{",".join(MODEL_FEATURES)}' AS features FROM lab"""
 
+# What holds for any trained model.
+Q["ml_train"] = f"SELECT CAST(300 AS BIGINT) AS trees, CAST({len(MODEL_FEATURES) + 2} AS BIGINT) AS inputs, true AS has_splits"
+Q["ml_importances"] = f"SELECT '{','.join(sorted(MODEL_FEATURES))}' AS features, 1e0 AS total, true AS none_negative"
+Q["ml_score"] = LABELLED + "SELECT transaction_id, label, true AS is_probability FROM lab"
+Q["ml_backfill"] = FEATS + "SELECT count(*) AS updated, true AS flags_follow FROM feats"
+
 ORACLES = Q

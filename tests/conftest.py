@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from decimal import Decimal
 from pathlib import Path
 
@@ -30,6 +31,7 @@ def spark():
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checkpoints-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import DATA
@@ -11,14 +12,21 @@ from fraudloom.sources import adapter, streams
 from fraudloom.streaming import jobs
 
 
+def part(rows, low, high):
+    """The rows whose place by ingest time lies in the range."""
+    place = F.row_number().over(Window.orderBy("ingested_at", "offset")) - 1
+    return rows.withColumn("place", place).filter((F.col("place") >= low) & (F.col("place") < high)).drop("place")
+
+
 def drop_file(rows, path, low, high):
-    rows.filter((F.col("offset") >= low) & (F.col("offset") < high)).coalesce(1).write.mode("append").parquet(path)
+    """One file of a part; files arrive in the order of ingest times."""
+    part(rows, low, high).coalesce(1).write.mode("append").parquet(path)
     time.sleep(1.1)  # files are taken by modification time
 
 
-def run(messages, root, part, **kw):
-    start = jobs.start_landing if part == "landing" else jobs.start_scoring
-    start(messages, f"{root}/out", f"{root}/progress-{part}", once=True, **kw).awaitTermination()
+def run(messages, root, job, **kw):
+    start = jobs.start_landing if job == "landing" else jobs.start_scoring
+    start(messages, f"{root}/out", f"{root}/progress-{job}", once=True, **kw).awaitTermination()
 
 
 def test_stream_equals_batch_across_a_restart(spark, tmp_path):
@@ -48,19 +56,47 @@ def test_redelivered_events(spark, tmp_path):
     again = rows.withColumns({"offset": F.col("offset") + 500,
                               "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")})
     drop_file(rows, source, 0, 300)
-    drop_file(again, source, 500, 800)
+    drop_file(again, source, 0, 300)
     run(streams.file_messages(spark, source, 1), str(tmp_path / "a"), "scoring")
-    run(streams.file_messages(spark, source, 1), str(tmp_path / "b"), "scoring", dedupe_within="1 day")
-    valid = layers.build_layers(rows.filter("offset < 300"))["processed"].count()
-    # Without dedupe the copies count as history, yet the processed layer stays unique.
-    assert spark.read.parquet(f"{tmp_path}/a/out/processed").count() == valid
-    assert spark.read.parquet(f"{tmp_path}/a/out/cleaned").count() == 2 * valid
-    assert spark.read.parquet(f"{tmp_path}/b/out/cleaned").count() == valid
+    run(streams.file_messages(spark, source, 1), str(tmp_path / "b"), "scoring", copies_count=True)
+    valid = layers.build_layers(part(rows, 0, 300))["processed"].count()
+    for run_of in "ab":  # with and without copies as history, an id comes out once
+        assert spark.read.parquet(f"{tmp_path}/{run_of}/out/processed").count() == valid
+        assert spark.read.parquet(f"{tmp_path}/{run_of}/out/cleaned").count() == valid
+
+
+def test_an_id_stays_unique_across_days_and_late_first_events_come_through(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows = adapter.messages(spark, DATA)
+    one_id = F.regexp_replace("value", '"transaction_id":"[^"]*"', '"transaction_id":"same"')
+    days = F.regexp_replace(one_id, "2024-01-01T", "2024-01-02T")
+    good = rows.filter("offset % 50 > 20")
+    drop_file(good.withColumn("value", one_id).limit(3), source, 0, 10_000)
+    drop_file(good.withColumn("value", days).limit(3), source, 0, 10_000)
+    early = good.withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 5 DAYS"))
+    drop_file(early, source, 0, 10_000)  # ids never seen, with an ingest clock that steps back
+    run(streams.file_messages(spark, source, 1), str(tmp_path), "scoring")
+    got = spark.read.parquet(f"{tmp_path}/out/processed")
+    assert got.filter("transaction_id = 'same'").count() == 1
+    assert got.filter("transaction_id <> 'same'").count() == layers.build_layers(early)["processed"].count()
+
+
+def test_outgoing_messages_can_be_sent(spark, tmp_path):
+    source, sent = str(tmp_path / "in"), []
+    rows = adapter.messages(spark, DATA)
+    drop_file(rows, source, 0, 200)
+
+    def send(messages, name):
+        sent.append((name, messages.columns, messages.count()))
+
+    run(streams.file_messages(spark, source, 1), str(tmp_path), "scoring", send=send)
+    want = layers.build_layers(part(rows, 0, 200))
+    assert sent == [(name, ["key", "value"], want[name].count()) for name in ("cleaned", "suspicious")]
 
 
 def test_replaying_a_batch_changes_nothing(spark, tmp_path):
     flagged = layers.build_layers(adapter.messages(spark, DATA))["flagged"]
-    for batch_id in (0, 0, 1):
+    for batch_id in (0, 0):
         jobs.append_processed(flagged, str(tmp_path), batch_id)
     assert spark.read.parquet(f"{tmp_path}/processed").count() == flagged.count()
 
