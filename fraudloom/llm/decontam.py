@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudloom.llm.text import mix, row_key
+from fraudloom.llm.text import mix, row_key, staged
 
 WINDOW = 8
 LEAST_WORDS = 5
@@ -184,7 +184,8 @@ def contaminations(
     salted = items.withColumnRenamed("pos", "at").withColumnRenamed("slots", "wanted").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
-    matched = found.join(salted, ["hash", "width", "salt"]).withColumn("offset", F.col("pos") - F.col("at"))
+    # used twice below, so written out: the documents are read once
+    matched = staged(found.join(salted, ["hash", "width", "salt"]).withColumn("offset", F.col("pos") - F.col("at")), "windows")
     copy = ["doc", "item", "offset"]
     slots = matched.select(*copy, F.explode(F.arrays_zip("wanted", "slots")).alias("s")).where("s.wanted is not null")
     torn = (  # a value of the item that has several values in one copy
