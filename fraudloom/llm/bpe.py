@@ -1,8 +1,8 @@
 """Byte-level BPE with a hierarchical-bitmap rank queue; exact encoding and decoding.
 
-Pairs of neighbours wait in a bucket per merge rank. A bitmap of three levels marks the buckets
-that hold anything, so find-first-set on one word per level gives the lowest rank; within a bucket
-the leftmost position goes first. Neighbours are linked lists, and an entry whose pair has changed
+Pairs of neighbours wait in a bucket per merge rank. A bitmap of two levels marks the buckets that
+hold anything, so find-first-set on one word per level gives the lowest rank; within a bucket the
+leftmost position goes first. Neighbours are linked lists, and an entry whose pair has changed
 since is skipped when it comes up. A pre-token of n bytes takes O(n log n) at most, however long.
 Short pre-tokens met before come from a bounded cache in each worker.
 
@@ -15,9 +15,10 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import heapq
 import itertools
-from collections.abc import Iterable, Iterator
+import struct
+from collections.abc import Callable, Iterable, Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -30,54 +31,32 @@ from fraudloom.llm.text import struct_array, struct_type
 from fraudloom.llm.tokens import PATTERN
 
 LONGEST_CACHED = 64
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_500_000
 PIECES_AT_ONCE = 1 << 16
-_WORD = 64
+_SHIFT = 8
+_WORD = 1 << _SHIFT  # ranks to a word of the bitmap
+_MASK = _WORD - 1
 ROUND_TRIP = struct_type(n_tokens=LongType(), ids_sha256=StringType(), decoded_sha256=StringType())
 
 
-class RankQueue:
-    """Positions in buckets by rank; gives the lowest rank, and its leftmost position, first."""
+class Pieces(dict):
+    """Packed ids of short pre-tokens met before. When half of the bound is new, the older half goes."""
 
-    def __init__(self, ranks: int):
-        self.levels = []
-        size = ranks
-        while not self.levels or size > 1:
-            size = -(-size // _WORD)
-            self.levels.append([0] * size)
-        self.buckets: dict[int, list[int]] = {}
+    def __init__(self, merge: Callable[[bytes], list[int]]):
+        super().__init__()
+        self.merge, self.older = merge, {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for level in self.levels:
-            rank, bit = divmod(rank, _WORD)
-            filled = level[rank]
-            level[rank] = filled | 1 << bit
-            if filled:
-                return
-
-    def pop(self) -> tuple[int, int] | None:
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            if not word:
-                return None
-            rank = rank * _WORD + (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            at = rank
-            for level in self.levels:
-                at, bit = divmod(at, _WORD)
-                level[at] &= ~(1 << bit)
-                if level[at]:
-                    break
-        return rank, position
+    def __missing__(self, piece: str) -> bytes:
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.merge(piece.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= LONGEST_CACHED:
+            if len(self) >= CACHE_ENTRIES // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = packed
+        return packed
 
 
 class ByteBPE:
@@ -90,59 +69,88 @@ class ByteBPE:
         self.vocabulary = [b""] * size
         for token, rank in self.ranks.items():
             self.vocabulary[rank] = token
-        self.longest = max(map(len, self.ranks))
         self.split = regex.compile(pattern)
-        self.queue = RankQueue(size)
-        self.cache: dict[str, bytes] = {}
+        self.first = [self.ranks.get(bytes(divmod(pair, 256)), -1) for pair in range(1 << 16)]
+        self.words = [0] * (-(-size // _WORD))  # lower level of the bitmap: a bit per rank; zero between merges
+        self.bits = [1 << k for k in range(max(_WORD, len(self.words)))]
+        self.pieces = Pieces(self.merge)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ranks, queue, n = self.ranks, self.queue, len(piece)
-        whole = ranks.get(piece) if n <= self.longest else None
+        rank_of = self.ranks.get
+        whole = rank_of(piece)
         if whole is not None:
             return [whole]
-        after, before, pair = list(range(1, n + 2)), list(range(-1, n)), [-1] * (n + 1)
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2])
-            if rank is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (top := queue.pop()) is not None:
-            rank, i = top
+        n, first, words, bits = len(piece), self.first, self.words, self.bits
+        pair = [first[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        pair += (-1, -1)
+        after, before = list(range(1, n + 2)), list(range(-1, n + 1))
+        buckets: dict[int, int | list[int]] = {}  # one position, or a heap of several
+        filled = 0  # upper level of the bitmap: a bit per word
+
+        made = [(i, rank) for i, rank in enumerate(pair) if rank >= 0]
+        while True:
+            for i, rank in made:
+                if rank in buckets:
+                    bucket = buckets[rank]
+                    if bucket.__class__ is int:
+                        buckets[rank] = [bucket, i] if bucket < i else [i, bucket]
+                    else:
+                        heappush(bucket, i)
+                else:
+                    buckets[rank] = i
+                    at = rank >> _SHIFT
+                    words[at] |= bits[rank & _MASK]
+                    filled |= bits[at]
+            if not filled:
+                break
+            at = (filled & -filled).bit_length() - 1
+            word = words[at]
+            rank = at << _SHIFT | (word & -word).bit_length() - 1
+            i = buckets[rank]
+            if i.__class__ is int:
+                del buckets[rank]
+                word &= word - 1
+                words[at] = word
+                if not word:
+                    filled &= filled - 1
+            else:
+                bucket, i = i, heappop(i)
+                if len(bucket) == 1:
+                    buckets[rank] = bucket[0]
+            made = ()
             if pair[i] != rank:
                 continue  # stale
             j = after[i]
             k = after[j]
-            after[i], pair[j] = k, -1
-            before[k] = i
-            for left, end in ((before[i], k), (i, after[k] if k < n else 0)):
-                if left < 0:
-                    continue
-                made = ranks.get(piece[left:end]) if 0 < end - left <= self.longest else None
-                pair[left] = -1 if made is None else made
-                if made is not None:
-                    queue.push(made, left)
+            after[i], before[k], pair[j] = k, i, -1
+            h = before[i]
+            if k < n and (right := rank_of(piece[i : after[k]])) is not None:
+                pair[i] = right
+                made = ((i, right),)
+            else:
+                pair[i] = -1
+            if h >= 0:
+                if (left := rank_of(piece[h:k])) is not None:
+                    pair[h] = left
+                    made = ((h, left), *made)
+                else:
+                    pair[h] = -1
         ids, i = [], 0
         while i < n:
-            ids.append(ranks[piece[i : after[i]]])
-            i = after[i]
+            k = after[i]
+            ids.append(self.ranks[piece[i:k]])
+            i = k
         return ids
 
-    def piece_ids(self, piece: str) -> bytes:
-        """Ids of a pre-token as little-endian unsigned 32-bit integers."""
-        packed = np.array(self.merge(piece.encode()), "<u4").tobytes()
-        if len(piece) <= LONGEST_CACHED:
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            self.cache[piece] = packed
-        return packed
-
     def encode(self, text: str) -> Iterator[bytes]:
-        """Packed ids of a text, in parts."""
-        get, make = self.cache.get, self.piece_ids
-        matches = (m.group() for m in self.split.finditer(text)) if len(text) > 1 << 20 else self.split.findall(text)
-        for run in itertools.batched(matches, PIECES_AT_ONCE):
-            yield b"".join([get(p) or make(p) for p in run])
+        """Packed ids of a text as little-endian unsigned 32-bit integers, in parts."""
+        ids = self.pieces.__getitem__
+        if len(text) <= 1 << 20:
+            yield b"".join(map(ids, self.split.findall(text)))
+            return
+        for run in itertools.batched((m.group() for m in self.split.finditer(text)), PIECES_AT_ONCE):
+            yield b"".join(map(ids, run))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, ids))

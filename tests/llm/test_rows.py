@@ -82,7 +82,15 @@ def test_merges_of_long_pieces_equal_the_library():
         for n in (1, 2, 3, 10, 150, 4000):
             piece = "".join(dice.choice(alphabet) for _ in range(n))
             assert codec.merge(piece.encode()) == library._core_bpe.encode_single_piece(piece.encode()), (alphabet, n)
-    assert codec.queue.pop() is None and not codec.queue.buckets and not any(map(any, codec.queue.levels))
+    assert not any(codec.words)
+
+
+def test_piece_cache_keeps_its_bound(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 4)
+    pieces = bpe.Pieces(lambda piece: list(piece))
+    for x in ("a", "b", "c", "a", "d", "e", "long" * 30):
+        assert pieces[x] == struct.pack(f"<{len(x)}I", *x.encode())
+        assert len(pieces) + len(pieces.older) <= 4
 
 
 def test_pretoken_pattern_is_the_published_one():
