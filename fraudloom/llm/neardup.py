@@ -6,14 +6,15 @@ function: floor(1 - log_b(x)), truncated to 16 bits, of the smallest exponential
 element takes. Registers are mergeable by maximum and equal more often the more alike two sets are.
 
 1. Bands of registers deal the representatives into buckets.
-2. Members of small buckets are paired. In a large bucket every member is paired with one centre,
-   in several rounds with other centres; pairs already connected are left out.
-3. What a large bucket still holds outside its largest component is compared with all its members,
-   block by block, and only pairs that the estimate lets pass leave a task.
-4. Each pair's similarity is estimated from both sketches jointly: the likelihood of how many
+2. Sets of candidates that have too many elements in no other set link with nothing and leave.
+   Members of small buckets are paired. In a large bucket every member is paired with one centre,
+   the member with the smallest share of elements of its own.
+3. Each pair's similarity is estimated from both sketches jointly: the likelihood of how many
    registers are larger, smaller and equal, given both set sizes. Pairs that would have to be
    ``DOUBT`` log units less likely at the threshold than at the best similarity are let go.
-5. The rest is verified on the full sets, and links are connected by smallest labels.
+4. The rest is verified on the full sets, and links are connected by smallest labels.
+5. What a large bucket then holds outside its largest component is compared with all its members on
+   the full sets, block by block, and only links leave a task.
 
 Sets are compared by 64-bit hashes of shingles. A pair at the threshold shares no band with a
 probability below 1e-6 for the settings used here. Nothing is capped: bucket sizes only choose
@@ -42,11 +43,11 @@ from fraudloom.llm.text import blocks, mix, row_key, staged, struct_array, struc
 #: Base of the register scale; the truncated range covers sets of up to 10**12 elements.
 REGISTER_BASE = 1.05
 SMALL_BUCKET = 24
-CENTRE_ROUNDS = 3
-CHUNK = 256
+CHUNK = 200_000
 DOUBT = 14.0
 SET = struct_type(hi=LongType(), lo=LongType(), elements=ArrayType(LongType()))
 _ELEMENTS_AT_ONCE = 512
+_COLUMNS_AT_ONCE = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -169,8 +170,15 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _possible(n_a, u_a, n_b, u_b, percent: int):
+    """Whether sizes and own elements leave room for a link: what is in no other set is not shared."""
+    most = [n_a - u_a, n_b - u_b]
+    need = percent * (n_a + n_b)
+    return ((100 + percent) * most[0] >= need) & ((100 + percent) * most[1] >= need)
+
+
 def _likely(pairs: DataFrame, sketched: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs that the estimate lets pass."""
+    """The pairs that sizes and the estimate let pass."""
     m, level = settings.registers, settings.percent / 100
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +189,14 @@ def _likely(pairs: DataFrame, sketched: DataFrame, settings: Settings) -> DataFr
             )
             yield batch.select(["a", "b"]).filter(pa.array(gap <= DOUBT))
 
-    sides = [sketched.select(F.col("doc").alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}")) for x in "ab"]
-    joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "r_a", "n_b", "r_b")
+    sides = [
+        sketched.select(F.col("doc").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "u", "registers")]) for x in "ab"
+    ]
+    first = pairs.distinct().join(sides[0], "a")
+    possible = _possible(F.col("n_a"), F.col("u_a"), F.col("n_b"), F.col("u_b"), settings.percent)
+    joined = first.join(sides[1], (first["b"] == sides[1]["b"]) & possible).select(
+        "a", sides[1]["b"], "n_a", "registers_a", "n_b", "registers_b"
+    )
     return joined.mapInArrow(test, "a long, b long")
 
 
@@ -221,45 +235,85 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _centres(members: DataFrame, turn: int) -> DataFrame:
-    """One member of each bucket, another one each turn."""
-    order = F.struct(F.xxhash64("doc", "bucket", F.lit(turn)).alias("o"), F.col("doc").alias("centre"))
-    return members.groupBy("bucket").agg(F.min(order).alias("c")).select("bucket", "c.centre")
-
+def _stars(members: DataFrame) -> DataFrame:
+    """Each bucket's members paired with its centre, the one with the smallest share of elements of its own."""
+    order = F.struct((F.col("u") / F.col("n")).alias("own"), F.xxhash64("doc").alias("o"), F.col("doc").alias("centre"))
+    centres = members.groupBy("bucket").agg(F.min(order).alias("c")).select("bucket", "c.centre")
+    return members.join(centres, "bucket").where("doc <> centre").select(*_ordered("doc", "centre"))
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
 
-
-def _rest(members: DataFrame, sketched: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of large buckets across components, one of them outside the bucket's largest component."""
-    m, level = settings.registers, settings.percent / 100
-    parts = members.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+def _torn(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets of several components, with their label, the bucket's largest component and its elements."""
+    labelled = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.sum("n").alias("elements"))
     largest = (
-        parts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("n_parts"), F.sum("size").alias("all"))
+        parts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("n_parts"), F.sum("elements").alias("all"))
         .where("n_parts > 1").select("bucket", F.col("top.label").alias("main"), "all")
     )
-    rows = members.join(largest, "bucket").join(sketched.select("doc", "n", "registers"), "doc")
+    return labelled.join(largest, "bucket")
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sorted sets."""
+    left, right = np.concatenate(x), np.concatenate(y)
+    both = np.intersect1d(left, right)
+    tables = []
+    for sets, flat in ((x, left), (y, right)):
+        rows, at = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.searchsorted(both, flat)
+        hit = at < len(both)
+        hit[hit] = both[at[hit]] == flat[hit]
+        tables.append((rows[hit], at[hit]))
+    found = np.zeros((len(x), len(y)))
+    for low in range(0, len(both), _COLUMNS_AT_ONCE):
+        parts = []
+        for sets, (rows, at) in zip((x, y), tables):
+            here = (at >= low) & (at < low + _COLUMNS_AT_ONCE)
+            part = np.zeros((len(sets), min(_COLUMNS_AT_ONCE, len(both) - low)), np.float32)
+            part[rows[here], at[here] - low] = 1
+            parts.append(part)
+        found += parts[0] @ parts[1].T
+    return np.rint(found).astype(np.int64)
+
+
+def _rest(torn: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links in torn buckets across components, one side outside the bucket's largest component.
+
+    Members meet in blocks of ``CHUNK`` elements, which are compared on their full sets; a task holds
+    two blocks, and only links leave it.
+    """
+    rows = torn.join(sets.select("doc", "elements"), "doc")
     chunk = F.pmod(F.xxhash64("doc"), F.ceil(F.col("all") / CHUNK).cast("long"))
 
     def packed(rows: DataFrame, side: str) -> DataFrame:
-        return rows.groupBy("bucket", chunk.alias("chunk")).agg(F.collect_list(F.struct("doc", "label", "n", "registers")).alias(side)).drop("chunk")
+        members = F.collect_list(F.struct("doc", "label", "n", "u", "elements"))
+        return rows.groupBy("bucket", chunk.alias("chunk")).agg(members.alias(side)).drop("chunk")
 
     chunks = packed(rows.where("label <> main"), "x").join(packed(rows, "y"), "bucket").select("x", "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tables = [np.frombuffer(b"".join(r["registers"] for r in side), "<u2").reshape(-1, m) for side in (x, y)]
-                doc, label, n = (np.array([r[k] for r in y]) for k in ("doc", "label", "n"))
-                for row, own in zip(tables[0], x):
-                    other = np.flatnonzero(label != own["label"])
-                    above, below = (row > tables[1][other]).sum(1), (row < tables[1][other]).sum(1)
-                    gap = likelihood_gap(above, below, np.full(len(other), own["n"]), n[other], m, level)
-                    hit = doc[other[gap <= DOUBT]]
-                    yield pa.record_batch([pa.array(np.minimum(hit, own["doc"])), pa.array(np.maximum(hit, own["doc"]))], ["a", "b"])
-
-    return chunks.mapInArrow(compare, "a long, b long")
+            for pair in zip(batch.column(0), batch.column(1)):
+                sides = [side.values for side in pair]
+                doc, label, n, u = (
+                    [side.field(k).to_numpy() for side in sides] for k in ("doc", "label", "n", "u")
+                )
+                hit = (label[0][:, None] != label[1]) & _possible(n[0][:, None], u[0][:, None], n[1], u[1], settings.percent)
+                stay = [np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))]
+                if len(stay[0]):
+                    found = [[side.field("elements")[int(k)].values.to_numpy() for k in own] for side, own in zip(sides, stay)]
+                    common = _common(*found)
+                    sizes = n[0][stay[0]][:, None] + n[1][stay[1]]
+                    linked = hit[np.ix_(*stay)] & (100 * common >= settings.percent * (sizes - common))
+                    a, b = (doc[k][stay[k][at]] for k, at in enumerate(np.nonzero(linked)))
+                    yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return chunks.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _own_elements(sets: DataFrame) -> DataFrame:
+    """(doc, u): how many elements of a set are in no other of the sets; counted in parts before they meet."""
+    alone = sets.select("doc", F.explode("elements").alias("e")).groupBy("e").agg(F.count("*").alias("c"), F.min("doc").alias("doc"))
+    return alone.where("c = 1").groupBy("doc").agg(F.count("*").alias("u"))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = EXACT_85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,33 +332,30 @@ def near_duplicates(docs: DataFrame, settings: Settings = EXACT_85, id_col: str
     sketched = classes.select("doc", "n", "registers")
 
     members = _members(sketched, settings)
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
+    members = staged(members.join(shared, "bucket"), "members")
+    wanted = classes.select("least_doc", "hi", "lo", "doc").join(members.select("doc").distinct(), "doc", "left_semi")
+    sets = staged(full_sets(docs, wanted, settings, id_col, text_col), "sets")
+
+    # sets of which too large a part is in no other set link with nothing
+    bounds = sets.select("doc", "n").join(_own_elements(sets), "doc", "left").fillna(0, "u").where(F.col("u") * 100 <= F.col("n") * (100 - settings.percent))
+    sketched = staged(sketched.drop("n").join(bounds, "doc"), "candidates")
+    members = members.join(sketched.select("doc", "n", "u"), "doc")
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = staged(members.join(sizes, "bucket"), "members")
-    small, large = members.where(F.col("size") <= SMALL_BUCKET), members.where(F.col("size") > SMALL_BUCKET).select("bucket", "doc")
+    small = members.where(F.col("size") <= SMALL_BUCKET)
+    large = members.where(F.col("size") > SMALL_BUCKET).drop("size")
 
     together = small.groupBy("bucket").agg(F.sort_array(F.collect_list("doc")).alias("d"))  # at most SMALL_BUCKET
     each = together.select("d", F.posexplode("d").alias("p", "a"))
     paired = each.select("a", F.explode(F.slice("d", F.col("p") + 2, F.lit(SMALL_BUCKET))).alias("b"))
-    stars = large.join(_centres(large, 0), "bucket").where("doc <> centre").select(*_ordered("doc", "centre"))
-    wanted = classes.select("least_doc", "hi", "lo", "doc").join(members.select("doc").distinct(), "doc", "left_semi")
-    sets = staged(full_sets(docs, wanted, settings, id_col, text_col), "sets")
-
-    def links_of(pairs: DataFrame) -> DataFrame:
-        likely = staged(_likely(pairs.distinct(), sketched, settings), "likely")
-        return staged(_verified(likely, sets, settings), "links")
 
-    links = links_of(paired.union(stars))
+    likely = staged(_likely(paired.union(_stars(large)), sketched, settings), "likely")
+    links = staged(_verified(likely, sets, settings), "links")
     labels = components(links)
-    if not large.isEmpty():
-        for turn in range(1, CENTRE_ROUNDS + 1):
-            now = _labelled(large, labels)
-            centres = _centres(large, turn).join(labels.withColumnRenamed("node", "centre"), "centre", "left").select(
-                "bucket", "centre", F.coalesce("label", "centre").alias("centre_label")
-            )
-            more = links_of(now.join(centres, "bucket").where("label <> centre_label").select(*_ordered("doc", "centre")))
-            links = links.union(more)
-            labels = components(links)
-        links = links.union(links_of(_rest(staged(_labelled(large, labels), "rest"), sketched, settings)))
+    torn = staged(_torn(large, labels), "torn")
+    if not torn.isEmpty():
+        links = links.union(staged(_rest(torn, sets, settings), "links"))
         labels = components(links)
 
     named = classes.select("hi", "lo", "doc", "least_id", "least_doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
