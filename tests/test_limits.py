@@ -141,6 +141,34 @@ def test_rows_of_hot_users_carry_short_lists(spark):
     assert len(got) == 1099
 
 
+def test_cards_without_features_only_read_the_schema(spark):
+    from fraudloom import queries
+
+    names = ("dash_total", "dash_city", "top_merchants_volume", "health_throughput")
+    spark.sparkContext.setJobGroup("cards", "building only")
+    try:
+        for name in names:
+            queries.registered()[name](spark, DATA)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("cards")) <= len(names)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_training_publishes_a_model_that_scores(spark, tmp_path):
+    from fraudloom.operators import model
+
+    out = layers.build_layers(adapter.messages(spark, "/root/testdata/sf0.01"))
+    path = str(tmp_path / "model")
+    assert model.load_model(spark, path) == (None, None)
+    made = model.publish(out["processed"], out["raw"], path, "2024-01-02", model.TreeParams(trees=3, depth=3))
+    loaded, metadata = model.load_model(spark, path)
+    assert metadata == made and loaded.getNumTrees == 3
+    assert set(made["ml_metrics"]) == set(made["rule_metrics"]) and 0 <= made["pr_auc"] <= 1
+    assert abs(sum(made["feature_importances"].values()) - 1) < 0.01
+    scored = model.score(out["processed"].drop("fraud_score").limit(50), loaded)
+    assert scored.where(F.col("fraud_score").between(0, 1)).count() == 50
+
+
 def test_profiles_compute_the_features_once(spark):
     from fraudloom import queries
 

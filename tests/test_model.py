@@ -37,7 +37,6 @@ def test_split_takes_exact_shares(spark):
 @pytest.mark.parametrize("per_range", [50_000, 40])
 def test_average_precision_equals_brute_force(spark, per_range):
     rows, df = labelled_frame(spark)
-    spark.sparkContext.setCheckpointDir("/tmp/fraudloom-test-checkpoints")
     total, want = sum(y for _, y, _ in rows), 0.0
     for s in {r[2] for r in rows}:
         above = [y for _, y, x in rows if x >= s]
