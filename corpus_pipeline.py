@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudloom.llm import bpe, decontam, lines, neardup, quality
-from fraudloom.llm.text import read, staged
+from fraudloom.llm.text import in_batches, read, staged
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +38,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the hash of the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = docs.select("doc_id", bpe.encode_ids(path)("text").alias("ids"))
-    return ids.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.sha2(bpe.decode_ids(path)("ids"), 256).alias("decoded_sha256"),
-    )
+    made = in_batches(docs).select("doc_id", bpe.encode_ids(path)("text").alias("e"))
+    return made.select("doc_id", F.size("e.ids").cast("long").alias("n_tokens"), "e.ids", "e.decoded_sha256")
 
 
 def _with_text(docs: DataFrame, text: Column) -> DataFrame:

@@ -25,17 +25,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
 
-from fraudloom.llm.text import struct_array, struct_type
+from fraudloom.llm.text import in_batches, struct_array, struct_type
 from fraudloom.llm.tokens import PATTERN
 
 LONGEST_CACHED = 64
-CACHE_ENTRIES = 1_500_000
+CACHE_ENTRIES = 1_200_000
+KEPT_ENTRIES = 500_000
 PIECES_AT_ONCE = 1 << 16
 _SHIFT = 8
 _WORD = 1 << _SHIFT  # ranks to a word of the bitmap
 _MASK = _WORD - 1
+ENCODED = struct_type(ids=ArrayType(IntegerType()), decoded_sha256=StringType())
 ROUND_TRIP = struct_type(n_tokens=LongType(), ids_sha256=StringType(), decoded_sha256=StringType())
 
 
@@ -59,6 +61,13 @@ class Pieces(dict):
         return packed
 
 
+    def rest(self) -> None:
+        """Keep a part for the worker's next task: what was met first since half of it went, so mostly the frequent ones."""
+        kept = dict(itertools.islice(self.items(), KEPT_ENTRIES))
+        self.clear()
+        self.older = kept
+
+
 class ByteBPE:
     """A rank file's encoder and decoder."""
 
@@ -163,16 +172,24 @@ def codec(path: str) -> ByteBPE:
 
 
 def encode_ids(path: str):
-    """Column function: text to array of ids."""
+    """Column function: text to its ids and the hash of the bytes they decode to."""
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf(ENCODED)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = codec(path)
         for texts in batches:
-            parts = [b"".join(bpe.encode(x.as_py() or "")) for x in texts]
+            parts, decoded = [], []
+            for text in texts:
+                own, back = [], hashlib.sha256()
+                for packed in bpe.encode(text.as_py() or ""):
+                    own.append(packed)
+                    back.update(bpe.decode(np.frombuffer(packed, "<u4").tolist()))
+                parts.append(b"".join(own))
+                decoded.append(back.hexdigest())
             offsets = np.cumsum([0] + [len(p) // 4 for p in parts])
-            flat = np.frombuffer(b"".join(parts), "<i4")
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+            yield struct_array({"ids": ids, "decoded_sha256": pa.array(decoded, pa.string())})
+        bpe.pieces.rest()
 
     return encode
 
@@ -210,5 +227,6 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(encoded, pa.string()),
                 "decoded_sha256": pa.array(decoded, pa.string()),
             })
+        bpe.pieces.rest()
 
-    return docs.select(F.col(id_col), both(F.col(text_col)).alias("__t")).select(id_col, "__t.*")
+    return in_batches(docs).select(F.col(id_col), both(F.col(text_col)).alias("__t")).select(id_col, "__t.*")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudloom.llm.text import mix, row_key, staged
+from fraudloom.llm.text import in_batches, mix, row_key, staged
 
 WINDOW = 8
 LEAST_WORDS = 5
@@ -50,7 +50,7 @@ NUMERALS = frozenset(
     "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split()
 )
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%.!?:\n]")
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 #: What a token may be, in the low bits of its code.
 _PLAIN, _NUMBER, _MARK, _TITLE, _UNIT, _TITLE_UNIT = range(6)
 _PLACEHOLDERS = {NUMBER: 0x6E756D, UNIT: 0x756E6974, NAME: 0x6E616D65}
@@ -179,7 +179,7 @@ def contaminations(
     item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """(doc, item, share): the items that a document holds, and the share of windows found."""
-    items = item_windows(benchmark, item_col, item_text)
+    items = item_windows(in_batches(benchmark), item_col, item_text)
     found = document_windows(docs, items, id_col, text_col).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
     salted = items.withColumnRenamed("pos", "at").withColumnRenamed("slots", "wanted").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from fraudloom.llm.text import mix, struct_array, struct_type
+from fraudloom.llm.text import in_batches, mix, struct_array, struct_type
 
 WIDTHS = (1, 2, 3, 4)
 SLOTS = 1 << 20
@@ -192,4 +192,4 @@ def predict_language(docs: DataFrame, model: Model, id_col: str = "doc_id", text
                 "lang_pred": pa.array([x for x, _ in found], pa.string()), "score": pa.array([x for _, x in found], pa.float64()),
             })
 
-    return docs.select(F.col(id_col), judge(F.col(text_col)).alias("__g")).select(id_col, "__g.*")
+    return in_batches(docs).select(F.col(id_col), judge(F.col(text_col)).alias("__g")).select(id_col, "__g.*")

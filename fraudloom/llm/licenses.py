@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType
 
-from fraudloom.llm.text import ALNUM, blocks, per_text, struct_array, struct_type
+from fraudloom.llm.text import ALNUM, blocks, in_batches, per_text, struct_array, struct_type
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _MARK = re.compile(r"<<(beginOptional|endOptional|var;[^>]*)>>")
@@ -235,4 +235,4 @@ def scan_licenses(
             columns = list(zip(*rows)) or [()] * len(kinds)
             yield struct_array({n: pa.array(x, t) for n, x, t in zip(SCANNED.names, columns, kinds)})
 
-    return docs.select(F.col(id_col), scan(F.col(text_col)).alias("__l")).select(id_col, "__l.*")
+    return in_batches(docs).select(F.col(id_col), scan(F.col(text_col)).alias("__l")).select(id_col, "__l.*")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-from fraudloom.llm.text import row_key, struct_array, struct_type
+from fraudloom.llm.text import in_batches, row_key, struct_array, struct_type
 
 #: Parts into which the rows of one line are dealt for the join, so that no line fills one task.
 SALTS = 16
@@ -98,7 +98,7 @@ def dedup_lines(
     out: str = "lines",
 ) -> DataFrame:
     """``docs`` with a struct column ``out``: n_lines, n_dropped, kept (the new text), kept_sha256."""
-    hashes = line_hashes(docs, min_chars, id_col, text_col)
+    hashes = line_hashes(in_batches(docs), min_chars, id_col, text_col)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     frequent = frequent_lines(hashes, min_docs).withColumn("salt", salts)
     drops = (

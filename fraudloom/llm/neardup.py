@@ -38,16 +38,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from fraudloom.llm.text import blocks, mix, row_key, staged, struct_array, struct_type, words
+from fraudloom.llm.text import blocks, in_batches, mix, row_key, staged, struct_array, struct_type, words
 
 #: Base of the register scale; the truncated range covers sets of up to 10**12 elements.
 REGISTER_BASE = 1.05
 SMALL_BUCKET = 24
+#: Elements and members of a block; a pair of blocks is compared in tables of ``_CELLS`` cells.
 CHUNK = 200_000
+CHUNK_MEMBERS = 1_000
 DOUBT = 14.0
 SET = struct_type(hi=LongType(), lo=LongType(), elements=ArrayType(LongType()))
 _ELEMENTS_AT_ONCE = 512
-_COLUMNS_AT_ONCE = 1 << 14
+_CELLS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -247,8 +249,8 @@ def _torn(members: DataFrame, labels: DataFrame) -> DataFrame:
     labelled = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.sum("n").alias("elements"))
     largest = (
-        parts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("n_parts"), F.sum("elements").alias("all"))
-        .where("n_parts > 1").select("bucket", F.col("top.label").alias("main"), "all")
+        parts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("n_parts"), F.sum("elements").alias("elements"), F.sum("size").alias("members"))
+        .where("n_parts > 1").select("bucket", F.col("top.label").alias("main"), "members", F.col("elements").alias("all"))
     )
     return labelled.join(largest, "bucket")
 
@@ -263,12 +265,12 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
         hit = at < len(both)
         hit[hit] = both[at[hit]] == flat[hit]
         tables.append((rows[hit], at[hit]))
-    found = np.zeros((len(x), len(y)))
-    for low in range(0, len(both), _COLUMNS_AT_ONCE):
+    found, width = np.zeros((len(x), len(y)), np.float32), max(1, _CELLS // max(len(x), len(y)))
+    for low in range(0, len(both), width):
         parts = []
         for sets, (rows, at) in zip((x, y), tables):
-            here = (at >= low) & (at < low + _COLUMNS_AT_ONCE)
-            part = np.zeros((len(sets), min(_COLUMNS_AT_ONCE, len(both) - low)), np.float32)
+            here = (at >= low) & (at < low + width)
+            part = np.zeros((len(sets), min(width, len(both) - low)), np.float32)
             part[rows[here], at[here] - low] = 1
             parts.append(part)
         found += parts[0] @ parts[1].T
@@ -278,11 +280,12 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 def _rest(torn: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Links in torn buckets across components, one side outside the bucket's largest component.
 
-    Members meet in blocks of ``CHUNK`` elements, which are compared on their full sets; a task holds
-    two blocks, and only links leave it.
+    Members meet in blocks of about ``CHUNK`` elements and at most some ``CHUNK_MEMBERS`` members, which
+    are compared on their full sets; a task holds two blocks, and only links leave it.
     """
     rows = torn.join(sets.select("doc", "elements"), "doc")
-    chunk = F.pmod(F.xxhash64("doc"), F.ceil(F.col("all") / CHUNK).cast("long"))
+    n_chunks = F.ceil(F.greatest(F.col("all") / CHUNK, F.col("members") / CHUNK_MEMBERS)).cast("long")
+    chunk = F.pmod(F.xxhash64("doc"), n_chunks)
 
     def packed(rows: DataFrame, side: str) -> DataFrame:
         members = F.collect_list(F.struct("doc", "label", "n", "u", "elements"))
@@ -321,7 +324,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = EXACT_85, id_col: str
 
     ``kept`` is true for the one document of each component that stays; rows that repeat it are equal.
     """
-    rows = staged(sketches(docs, settings, id_col, text_col), "sketches")
+    rows = staged(sketches(in_batches(docs), settings, id_col, text_col), "sketches")
     classes = rows.where("n > 0").groupBy("hi", "lo").agg(
         F.min(F.struct("doc", "n", "registers")).alias("r"), F.min("id").alias("least_id")
     ).select("hi", "lo", F.col("r.doc").alias("least_doc"), "r.n", "r.registers", "least_id")

@@ -34,7 +34,7 @@ f AS (SELECT *, n_words < 10 AS r0, 100 * n_repeat_words > 20 * n_words AS r1, 1
     100 * n_dup_lines > 50 * n_lines AS r3, word_chars < 2 * n_words AS r4, word_chars > 20 * n_words AS r5,
     100 * n_upper > 50 * word_chars AS r6, 100 * n_stuck > 20 * n_words AS r7 FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 OR r1 AS base_failed,
-  NOT (r0 OR r1 OR r2 OR r3) AS kept,
+  NOT (r0 OR r1 OR r2 OR r3 OR r7) AS kept,
   (r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT + 32 * r5::INT + 64 * r6::INT + 128 * r7::INT)::BIGINT AS failed_rules
 FROM f
 """

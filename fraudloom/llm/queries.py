@@ -50,7 +50,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rules.ledger(read(spark, sf_dir, "documents"))
-    base, current = rules.POLICIES["base"], rules.POLICIES["v1"]
+    base, current = rules.POLICIES["base"], rules.POLICIES["v2"]
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~rules.verdict(base)).alias("base_failed"),

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fraudloom.llm.text import SPACED, blocks, mix, per_text, struct_array, struct_type, words
+from fraudloom.llm.text import SPACED, blocks, in_batches, mix, per_text, struct_array, struct_type, words
 
 WINDOW = 5
 MEASURES = (
@@ -99,12 +99,16 @@ class Policy:
 
 
 BASE = ("few_words", "repeated_windows")
-POLICIES = {p.version: p for p in (Policy("base", BASE), Policy("v1", BASE + ("symbols", "duplicate_lines")), Policy("v2", tuple(RULES)))}
+#: v3 also rejects by word length and case, which suits only texts with spaces between words and little upper case.
+POLICIES = {p.version: p for p in (
+    Policy("base", BASE), Policy("v1", BASE + ("symbols", "duplicate_lines")),
+    Policy("v2", BASE + ("symbols", "duplicate_lines", "stuck_words")), Policy("v3", tuple(RULES)),
+)}
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id, every measurement, and ``failed``, one bit per rule of ``RULES``."""
-    measured = docs.select(F.col(id_col), measure(F.col(text_col)).alias("__m")).select(id_col, "__m.*")
+    measured = in_batches(docs).select(F.col(id_col), measure(F.col(text_col)).alias("__m")).select(id_col, "__m.*")
     bits = [F.expr(rule).cast("long") * F.lit(1 << k) for k, rule in enumerate(RULES.values())]
     return measured.withColumn("failed", sum(bits[1:], bits[0]))
 

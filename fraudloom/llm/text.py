@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 
 from fraudloom.session import scratch_folder
 
-BLOCK_BYTES = 1 << 21
-PIECE_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+PIECE_BYTES = 1 << 18
+BATCH_BYTES = "8m"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _SPACE = np.zeros(256, bool)
@@ -37,6 +38,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_batches(docs: DataFrame) -> DataFrame:
+    """The same rows; what Python workers get of them at once is bounded by bytes from here on."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return docs
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """What tells documents apart: the id, or for rows without one the text's hash."""
     return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col)))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fraudloom.llm.text import struct_array, struct_type
+from fraudloom.llm.text import in_batches, struct_array, struct_type
 
 SAMPLE_ROWS = 2_000
 TABLE_SIZE = 50_000
@@ -125,7 +125,7 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text") -> dict
 
     The sampled documents, not their pre-tokens, meet in one task, which sends back the table.
     """
-    rows = docs.select(F.col(text_col).alias("text")).where("text is not null")
+    rows = in_batches(docs).select(F.col(text_col).alias("text")).where("text is not null")
     total = rows.count()
     share = min(1.0, SAMPLE_ROWS / max(total, 1))
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * SAMPLE_ROWS)

@@ -97,7 +97,8 @@ def test_components_of_documents_and_awkward_rows(documents, awkward, empty):
 def test_large_buckets_lose_no_link(copies, monkeypatch):
     monkeypatch.setattr(neardup, "SMALL_BUCKET", 3)
     monkeypatch.setattr(neardup, "CHUNK", 900)
-    monkeypatch.setattr(neardup, "_COLUMNS_AT_ONCE", 50)
+    monkeypatch.setattr(neardup, "CHUNK_MEMBERS", 7)
+    monkeypatch.setattr(neardup, "_CELLS", 400)
     assert ours(copies, neardup.EXACT_85) == plain_components(copies.collect(), neardup.EXACT_85)
 
 

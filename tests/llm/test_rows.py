@@ -71,7 +71,8 @@ def test_round_trip_equals_the_library(documents, awkward, empty):
         expected.append((r.doc_id, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()))
     assert keyed(bpe.round_trip(rows, RANKS).collect()) == keyed(expected)
     assert bpe.round_trip(empty, RANKS).count() == 0
-    ids = awkward.select("doc_id", "text", bpe.encode_ids(RANKS)("text").alias("ids"))
+    ids = awkward.select("doc_id", "text", bpe.encode_ids(RANKS)("text").alias("e")).select("text", "e.*")
+    assert all(r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() for r in ids.collect())
     for r in ids.select("text", "ids", bpe.decode_ids(RANKS)("ids").alias("back")).collect():
         assert r.ids == library.encode_ordinary(r.text or "") and bytes(r.back).decode() == (r.text or "")
 
@@ -91,6 +92,9 @@ def test_piece_cache_keeps_its_bound(monkeypatch):
     for x in ("a", "b", "c", "a", "d", "e", "long" * 30):
         assert pieces[x] == struct.pack(f"<{len(x)}I", *x.encode())
         assert len(pieces) + len(pieces.older) <= 4
+    monkeypatch.setattr(bpe, "KEPT_ENTRIES", 1)
+    pieces.rest()
+    assert len(pieces) + len(pieces.older) == 1
 
 
 def test_pretoken_pattern_is_the_published_one():
@@ -126,11 +130,11 @@ def test_measurements_equal_plain_python(documents, awkward, empty, monkeypatch,
     got = rules.ledger(rows).collect()
     expected = [(r.doc_id, *plain_rules(r.text)) for r in rows.collect()]
     assert keyed((r.doc_id, *(r[n] for n in names)) for r in got) == keyed(expected)
-    assert rules.ledger(empty).count() == 0 and rules.ablations(rules.ledger(empty), rules.POLICIES["v2"]).count() == 0
+    assert rules.ledger(empty).count() == 0 and rules.ablations(rules.ledger(empty), rules.POLICIES["v3"]).count() == 0
 
 
 def test_policies_and_ablations_come_from_the_ledger(documents):
-    rows, policy = rules.ledger(documents), rules.POLICIES["v2"]
+    rows, policy = rules.ledger(documents), rules.POLICIES["v3"]
     plain = [{name: bool(r.failed >> k & 1) for k, name in enumerate(rules.RULES)} for r in rows.collect()]
     assert rows.where(rules.verdict(policy)).count() == sum(not any(x.values()) for x in plain)
     for r in rules.ablations(rows, policy).collect():
