@@ -1,14 +1,19 @@
 """Benchmark decontamination: passages are found even if their numbers, names and units were changed.
 
 A text becomes a template: numbers, units after numbers, and names give typed placeholders, other
-words their lower-cased selves. Windows of ``WINDOW`` template words are hashed and joined with the
-windows of the benchmark items. Within a document and item, windows of the same offset belong to one
-copy; an item's value that stands in several slots must have one value in the copy, or the copy does
-not count. A document is contaminated when consistent copies cover ``MIN_SHARE`` of the windows of
-an item.
-
-Windows with fewer than ``LEAST_PLAIN`` different plain words do not count, unless an item has no
-others. A name is a word in title case that does not begin a sentence. Before the join, documents'
+words their lower-cased selves. Windows of up to ``WINDOW`` template words are hashed and joined with
+the windows of the benchmark items; the width falls with the item's length, so that a copy with one
+or two changed words still has a window. Where a window is found, the texts are compared word by word
+at that offset and up to ``SHIFT`` words aside (words put in or left out); an item's value that
+stands in several slots must have one value in the copy, or the copy does not count.
+
+A document is contaminated when copies cover ``MIN_WORDS`` of an item's words (at least
+``LEAST_COPIED``, or all but one), or ``MIN_SHARE`` of its windows, or when a run at one offset has
+``LONG_RUN`` words. Items of fewer than ``WINDOW`` words must be there as a whole.
+
+Windows of which less than half (``LEAST_PLAIN`` of ``WINDOW``) are different plain words do not
+count, nor the words that only they cover, unless an item has no others. A name is a word in title
+case that does not begin a sentence. Before the join, documents'
 windows pass a bitmap of ``BITS`` bits that is broadcast; it never loses a match, and its size does
 not depend on either table. Item windows are salted for the join, so that an item in a third of all
 documents does not meet them in one task.
@@ -19,6 +24,9 @@ text, rows that repeat an id are one document; an empty table on either side mat
 """
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,6 +43,17 @@ WINDOW = 8
 LEAST_WORDS = 5
 LEAST_PLAIN = 4
 MIN_SHARE = 0.5
+#: Share of an item's words that makes a copy, at least ``LEAST_COPIED`` words or all but one.
+MIN_WORDS = 0.6
+LEAST_COPIED = 9
+#: Words of a run at one offset that are a passage, whatever the length of the item.
+LONG_RUN = 13
+#: A copy's runs of this length count, and shorter ones at most ``GAP`` words away, up to ``SHIFT`` offsets aside.
+LEAST_RUN = 3
+GAP = 2
+SHIFT = 2
+KNOWN_ITEMS = 2_000
+BLOCK_CHARS = 1 << 16
 BITS = 1 << 24
 SALTS = 16
 NUMBER, UNIT, NAME = 1, 2, 3
@@ -55,7 +74,7 @@ CACHE_ENTRIES = 150_000
 _PLAIN, _NUMBER, _MARK, _TITLE, _UNIT, _TITLE_UNIT = range(6)
 _PLACEHOLDERS = {NUMBER: 0x6E756D, UNIT: 0x756E6974, NAME: 0x6E616D65}
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-FOUND = "doc long, pos int, width int, hash long, slots array<string>"
+FOUND = "doc long, content long, pos int, width int, hash long"
 
 
 class _Codes(dict):
@@ -99,10 +118,19 @@ class Template:
 
 
 def template(text: str) -> Template:
-    tokens = _TOKEN.findall(text)
+    return _templates([text])[0]
+
+
+def _templates(texts: list[str]) -> tuple[Template, np.ndarray]:
+    """The template of several texts in a row, and where each one begins and the last one ends."""
+    tokens, ends = [], []
+    for text in texts:
+        tokens += _TOKEN.findall(text)
+        tokens.append("\n")
+        ends.append(len(tokens))
     codes = np.fromiter(map(_codes.__getitem__, tokens), np.uint64, len(tokens))
     may = codes & np.uint64(7)
-    before = np.concatenate(([np.uint64(_MARK)], may[:-1])) if len(may) else may
+    before = np.concatenate(([np.uint64(_MARK)], may[:-1]))
     kinds = np.zeros(len(codes), np.int8)
     kinds[((may == _TITLE) | (may == _TITLE_UNIT)) & (before != _MARK)] = NAME
     kinds[((may == _UNIT) | (may == _TITLE_UNIT)) & (before == _NUMBER)] = UNIT
@@ -111,7 +139,8 @@ def template(text: str) -> Template:
     for kind, code in _PLACEHOLDERS.items():
         codes[kinds == kind] = code
     stay = may != _MARK
-    return Template(codes[stay], kinds[stay], [t for t, s in zip(tokens, stay.tolist()) if s])
+    bounds = np.concatenate(([0], np.cumsum(stay)[np.array(ends) - 1]))
+    return Template(codes[stay], kinds[stay], list(itertools.compress(tokens, stay.tolist()))), bounds
 
 
 def _windows(codes: np.ndarray, width: int) -> np.ndarray:
@@ -125,8 +154,99 @@ def _windows(codes: np.ndarray, width: int) -> np.ndarray:
     return mix(joined + np.uint64(width))
 
 
-def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, pos, width, hash, n_windows, slots) of every item's windows."""
+def seed_width(n: int) -> int:
+    """Words of an item's windows: two changed words leave one intact (one, below a dozen words)."""
+    return n if n < WINDOW else min(WINDOW, max(4, -(-(n - 2) // 3)))
+
+
+def _good(found: Template, width: int) -> list[int]:
+    """Windows with enough different plain words, or all where there are none."""
+    every = range(len(found.codes) - width + 1)
+    return [p for p in every if found.plain(p, width) * WINDOW >= LEAST_PLAIN * width] or list(every)
+
+
+def _runs(same: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], same.astype(np.int8), [0]))))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+class Passage:
+    """An item to compare with places in documents, word by word."""
+
+    def __init__(self, found: Template):
+        self.found, self.n = found, len(found.codes)
+        self.values = found.slots(0, self.n)
+        self.width = min(WINDOW, self.n)
+        self.good = np.array(_good(found, self.width))
+        self.counts = np.zeros(self.n, bool)  # words that windows cover
+        for p in self.good.tolist():
+            self.counts[p : p + self.width] = True
+        self.size = int(self.counts.sum())
+        self.least = self.n if self.n < WINDOW else max(min(self.size - 1, LEAST_COPIED), math.ceil(MIN_WORDS * self.size))
+
+    def agree(self, doc: Template, offset: int) -> np.ndarray:
+        """The item's words that a copy at this offset holds: runs of ``LEAST_RUN`` or more and what is near them."""
+        same = np.zeros(self.n, bool)
+        low, high = max(0, -offset), min(self.n, len(doc.codes) - offset)
+        if high <= low:
+            return same
+        same[low:high] = self.found.codes[low:high] == doc.codes[low + offset : high + offset]
+        clusters: list[list[tuple[int, int]]] = []
+        for run in _runs(same):
+            if clusters and run[0] - clusters[-1][-1][1] <= GAP:
+                clusters[-1].append(run)
+            else:
+                clusters.append([run])
+        same[:] = False
+        for cluster in clusters:
+            if max(e - b for b, e in cluster) >= min(LEAST_RUN, self.n):
+                for b, e in cluster:
+                    same[b:e] = True
+        return self.consistent(doc, offset, same)
+
+    def consistent(self, doc: Template, offset: int, same: np.ndarray) -> np.ndarray:
+        """None of the words if a value of the item has several values in the copy."""
+        held: dict[str, str] = {}
+        for at in np.flatnonzero(same & (self.found.kinds > 0)).tolist():
+            value = doc.slots(at + offset, 1)[0]
+            if held.setdefault(self.values[at], value) != value:
+                return np.zeros(self.n, bool)
+        return same
+
+    def long_run(self, same: np.ndarray) -> bool:
+        """Whether a run at one offset is a passage by its length."""
+        return any(
+            e - b >= LONG_RUN and self.found.plain(b, e - b) * WINDOW >= LEAST_PLAIN * LONG_RUN for b, e in _runs(same & self.counts)
+        )
+
+    def share(self, doc: Template, offsets: list[int], min_share: float) -> float | None:
+        """Share of the item's words that the document holds, null if that is no copy."""
+        whole, everywhere, near, passage = np.zeros(len(self.good), bool), np.zeros(self.n, bool), [], False
+        for offset in sorted(set(offsets)):
+            same = self.agree(doc, offset)
+            passage |= self.long_run(same)
+            intact = np.concatenate(([0], np.cumsum(same)))
+            held = intact[self.good + self.width] - intact[self.good] == self.width
+            whole |= held
+            for p in self.good[held].tolist():
+                everywhere[p : p + self.width] = True
+            for shift in range(1, SHIFT + 1):  # a word more or less moves the rest
+                same = same | self.agree(doc, offset - shift) | self.agree(doc, offset + shift)
+            near.append(same)
+        best = max(int(((same | everywhere) & self.counts).sum()) for same in near)
+        copied = best >= self.least or passage or whole.sum() >= min_share * len(self.good)
+        return best / self.size if copied else None
+
+
+def passages(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(item, passage) of the rows with an id and a text."""
+    rows = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("passage"))
+    return rows.where("item is not null and passage is not null")
+
+
+def item_windows(items: DataFrame) -> DataFrame:
+    """(item, at, width, hash) of the windows of every item of ``passages``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,20 +255,17 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
                 found = template(text)
                 if len(found.codes) < LEAST_WORDS:
                     continue
-                width = min(WINDOW, len(found.codes))
+                width = seed_width(len(found.codes))
                 hashes = _windows(found.codes, width).view(np.int64).tolist()
-                good = [p for p in range(len(hashes)) if found.plain(p, width) >= LEAST_PLAIN] or list(range(len(hashes)))
-                rows += [(item, p, width, hashes[p], len(good), found.slots(p, width)) for p in good]
-            names = ["item", "pos", "width", "hash", "n_windows", "slots"]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string())]
-            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
+                rows += [(item, p, width, hashes[p]) for p in _good(found, width)]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["item", "at", "width", "hash"])
 
-    rows = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text")).where("item is not null and text is not null")
-    return rows.mapInArrow(run, "item long, pos int, width int, hash long, n_windows int, slots array<string>")
+    return items.mapInArrow(run, "item long, at int, width int, hash long")
 
 
 def document_windows(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, pos, width, hash, slots) of the documents' windows that pass the bitmap of ``wanted``."""
+    """(doc, content, pos, width, hash) of the documents' windows that pass the bitmap of ``wanted``; content tells texts apart."""
     keys = wanted.select(F.pmod("hash", F.lit(BITS)).cast("int").alias("bit"), "width").distinct()
     marked = keys.toArrow()  # at most BITS rows a width, and WINDOW widths
     bitmap = np.zeros(BITS, bool)
@@ -159,42 +276,67 @@ def document_windows(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                found = template(text.as_py())
+            doc, content = (batch.column(k).to_numpy() for k in range(2))
+            for first, texts in _blocks(batch.column(2)):
+                found, bounds = _templates(texts)
                 for width in widths:
-                    hashes = _windows(found.codes, width)
-                    bit = hashes.view(np.int64) % BITS
-                    for p in np.flatnonzero(bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1).tolist():
-                        rows.append((doc.as_py(), p, width, int(hashes[p].view(np.int64)), found.slots(p, width)))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string())]
-            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["doc", "pos", "width", "hash", "slots"])
+                    hashes = _windows(found.codes, width).view(np.int64)
+                    bit = hashes % BITS
+                    at = np.flatnonzero(bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
+                    row = np.searchsorted(bounds, at, "right") - 1
+                    within = at + width <= bounds[row + 1]
+                    at, row = at[within], row[within]
+                    columns = [doc[first + row], content[first + row], (at - bounds[row]).astype(np.int32), np.full(len(at), width, np.int32), hashes[at]]
+                    yield pa.record_batch([pa.array(c) for c in columns], ["doc", "content", "pos", "width", "hash"])
+
+    return _texts(docs, id_col, text_col).mapInArrow(run, FOUND)
+
+
+def _blocks(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts in runs of about ``BLOCK_CHARS``, each with the row of its first."""
+    first, run, size = 0, [], 0
+    for row, value in enumerate(column):
+        run.append(value.as_py())
+        size += len(run[-1])
+        if size >= BLOCK_CHARS or row + 1 == len(column):
+            yield first, run
+            first, run, size = row + 1, [], 0
 
-    rows = docs.select(row_key(id_col, text_col).alias("doc"), F.col(text_col).alias("text")).where("text is not null")
-    return rows.mapInArrow(run, FOUND)
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col)
+    return docs.select(row_key(id_col, text_col).alias("doc"), F.xxhash64(text).alias("content"), text.alias("text")).where("text is not null")
 
 
 def contaminations(
     docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """(doc, item, share): the items that a document holds, and the share of windows found."""
-    items = item_windows(in_batches(benchmark), item_col, item_text)
-    found = document_windows(docs, items, id_col, text_col).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
-    salted = items.withColumnRenamed("pos", "at").withColumnRenamed("slots", "wanted").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    # used twice below, so written out: the documents are read once
-    matched = staged(found.join(salted, ["hash", "width", "salt"]).withColumn("offset", F.col("pos") - F.col("at")), "windows")
-    copy = ["doc", "item", "offset"]
-    slots = matched.select(*copy, F.explode(F.arrays_zip("wanted", "slots")).alias("s")).where("s.wanted is not null")
-    torn = (  # a value of the item that has several values in one copy
-        slots.groupBy(*copy, "s.wanted").agg(F.min("s.slots").alias("low"), F.max("s.slots").alias("high"))
-        .where("low <> high").select(*copy).distinct()
+    """(doc, item, share): the items that a document holds, and the share of their words found."""
+    items = passages(in_batches(benchmark), item_col, item_text)
+    windows = item_windows(items)
+    found = document_windows(docs, windows, id_col, text_col).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    salted = windows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    places = found.join(salted, ["hash", "width", "salt"]).groupBy("doc", "content", "item").agg(
+        F.collect_set(F.col("pos") - F.col("at")).alias("offsets")
     )
-    covered = matched.select(*copy, "at", "n_windows").join(torn, copy, "left_anti")
-    share = F.count_distinct("at") / F.first("n_windows")
-    return covered.groupBy("doc", "item").agg(share.alias("share")).where(F.col("share") >= min_share)
+    # the texts of documents with a window in common are read again and compared word by word
+    pairs = staged(places.join(items, "item"), "places")
+    pairs = _texts(docs, id_col, text_col).join(pairs, ["doc", "content"]).select("doc", "item", "text", "passage", "offsets")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, doc, known = None, None, functools.lru_cache(KNOWN_ITEMS)(lambda x: Passage(template(x)))
+        for batch in batches:
+            rows = []
+            for key, item, own, passage, offsets in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != text:
+                    text, doc = own, template(own)
+                share = known(passage).share(doc, offsets, min_share)
+                if share is not None:
+                    rows.append((key, item, share))
+            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["doc", "item", "share"])
+
+    return pairs.mapInArrow(compare, "doc long, item long, share double").groupBy("doc", "item").agg(F.max("share").alias("share"))
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

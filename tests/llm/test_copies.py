@@ -178,6 +178,37 @@ def test_all_planted_passages_are_found(spark):
     assert {r.id for r in decontam.judge(docs, items).where("contaminated").collect()} == truth and truth
 
 
+def flagged(spark, items, texts):
+    """(document, item) of each contamination, by place; texts and items may be (id, text)."""
+    rows = [[x if isinstance(x, tuple) else (k, x) for k, x in enumerate(xs)] for xs in (items, texts)]
+    frames = [spark.createDataFrame(r, f"{name} long, text string") for r, name in zip(rows, ("item_id", "doc_id"))]
+    return {(r.doc, r.item) for r in decontam.contaminations(frames[1], frames[0]).collect()}
+
+
+def test_parts_and_edited_copies_of_items_of_all_lengths(spark):
+    dice = random.Random(7)
+    lengths = [8, 9, 11, 12, 15, 16, 19, 22, 23, 24, 30, 38, 59, 300]
+    items = [[f"w{chr(97 + k)}{''.join(dice.choice('abcdefgh') for _ in range(6))}" for _ in range(n)] for k, n in enumerate(lengths)]
+    texts, want = [], set()
+    for k, words in enumerate(items):
+        n = len(words)
+        around = [[f"x{chr(97 + j)}" for j in range(20)], ["yy", "zz"] * 9]
+        places = [(n // 2,)] + [(i,) for i in dice.sample(range(n), 3)]
+        if n >= 12:
+            places += [(n // 3, 2 * n // 3), (2, 5), (1, 3), (n // 2, n // 2 + 1)] + [tuple(dice.sample(range(n), 2)) for _ in range(4)]
+        copies = [[("edit" if i in at else w) for i, w in enumerate(words)] for at in places]
+        copies += [words[: n // 2] + ["more"] + words[n // 2 :], words[: n // 2] + words[n // 2 + 1 :]]
+        if n >= 22:
+            copies += [words[i : i + 13] for i in (0, n // 3, n - 13)]
+        if n == 300:
+            copies.append(words[100:240])
+        for copy in copies:
+            want.add((len(texts), k))
+            texts.append(" ".join(around[0] + copy + around[1]))
+        texts.append(" ".join(around[0] + words[: n // 2] + around[1]) if n < 22 else " ".join(words[2:14]))
+    assert flagged(spark, [" ".join(x) for x in items], texts) == want
+
+
 def test_windows_equal_plain_python():
     text = "Tom paid 3,50 dollars. Two Miles later he, 20% poorer, saw Ann's dog at 5 km: Run Ann"
     found = decontam.template(text)
