@@ -5,7 +5,8 @@ words their lower-cased selves. Windows of up to ``WINDOW`` template words are h
 the windows of the benchmark items; the width falls with the item's length, so that a copy with one
 or two changed words still has a window. Where a window is found, the texts are compared word by word
 at that offset and up to ``SHIFT`` words aside (words put in or left out); an item's value that
-stands in several slots must have one value in the copy, or the copy does not count.
+stands in several slots must have one value in the copy: slots with a minority's value do not count,
+and without a majority only runs of a window's length with the item's own values do.
 
 A document is contaminated when copies cover ``MIN_WORDS`` of an item's words (at least
 ``LEAST_COPIED``, or all but one), or ``MIN_SHARE`` of its windows, or when a run at one offset has
@@ -19,11 +20,12 @@ not depend on either table. Item windows are salted for the join, so that an ite
 documents does not meet them in one task.
 
 Defined cases: null or empty texts match nothing, items with a null id or fewer than ``LEAST_WORDS``
-words are no passages; items that repeat are matched each; rows without id are told apart by their
-text, rows that repeat an id are one document; an empty table on either side matches nothing.
+words are no passages; items that repeat are matched each, rows that share an id each by
+their own text; rows without id are told apart by their text, rows that repeat an id are one document; an empty table on either side matches nothing.
 """
 from __future__ import annotations
 
+import collections
 import functools
 import itertools
 import math
@@ -206,12 +208,28 @@ class Passage:
         return self.consistent(doc, offset, same)
 
     def consistent(self, doc: Template, offset: int, same: np.ndarray) -> np.ndarray:
-        """None of the words if a value of the item has several values in the copy."""
-        held: dict[str, str] = {}
-        for at in np.flatnonzero(same & (self.found.kinds > 0)).tolist():
-            value = doc.slots(at + offset, 1)[0]
-            if held.setdefault(self.values[at], value) != value:
-                return np.zeros(self.n, bool)
+        """These words without slots that hold a minority's value.
+
+        Where an item's value has several values in the copy, the item's own value stays, else that of
+        most slots; if no value has most, the copy counts only where it holds the item's own values.
+        """
+        slots = np.flatnonzero(same & (self.found.kinds > 0)).tolist()
+        held: dict[str, collections.Counter] = collections.defaultdict(collections.Counter)
+        value = {at: doc.slots(at + offset, 1)[0] for at in slots}
+        for at in slots:
+            held[self.values[at]][value[at]] += 1
+        kept = {}
+        for own, values in held.items():
+            most, n = values.most_common(1)[0]
+            kept[own] = own if own in values else most if 2 * n > values.total() else None
+        torn = None in kept.values()
+        for at in slots:
+            if value[at] != (self.values[at] if torn else kept[self.values[at]]) and value[at] != self.values[at]:
+                same[at] = False
+        if torn:  # words between slots of other values are no copy by themselves
+            for begin, end in _runs(same):
+                if end - begin < self.width:
+                    same[begin:end] = False
         return same
 
     def long_run(self, same: np.ndarray) -> bool:
@@ -240,28 +258,29 @@ class Passage:
 
 
 def passages(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, passage) of the rows with an id and a text."""
-    rows = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("passage"))
+    """(item, version, passage) of the rows with an id and a text; version tells the texts of an id apart."""
+    text = F.col(text_col)
+    rows = benchmark.select(F.col(id_col).cast("long").alias("item"), F.xxhash64(text).alias("version"), text.alias("passage")).distinct()
     return rows.where("item is not null and passage is not null")
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item, at, width, hash) of the windows of every item of ``passages``."""
+    """(item, version, at, width, hash) of the windows of every item of ``passages``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for item, version, text in zip(*(c.to_pylist() for c in batch.columns)):
                 found = template(text)
                 if len(found.codes) < LEAST_WORDS:
                     continue
                 width = seed_width(len(found.codes))
                 hashes = _windows(found.codes, width).view(np.int64).tolist()
-                rows += [(item, p, width, hashes[p]) for p in _good(found, width)]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["item", "at", "width", "hash"])
+                rows += [(item, version, p, width, hashes[p]) for p in _good(found, width)]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["item", "version", "at", "width", "hash"])
 
-    return items.mapInArrow(run, "item long, at int, width int, hash long")
+    return items.mapInArrow(run, "item long, version long, at int, width int, hash long")
 
 
 def document_windows(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,11 +336,11 @@ def contaminations(
     windows = item_windows(items)
     found = document_windows(docs, windows, id_col, text_col).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
     salted = windows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    places = found.join(salted, ["hash", "width", "salt"]).groupBy("doc", "content", "item").agg(
+    places = found.join(salted, ["hash", "width", "salt"]).groupBy("doc", "content", "item", "version").agg(
         F.collect_set(F.col("pos") - F.col("at")).alias("offsets")
     )
     # the texts of documents with a window in common are read again and compared word by word
-    pairs = staged(places.join(items, "item"), "places")
+    pairs = staged(places.join(items, ["item", "version"]), "places")
     pairs = _texts(docs, id_col, text_col).join(pairs, ["doc", "content"]).select("doc", "item", "text", "passage", "offsets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

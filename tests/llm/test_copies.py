@@ -209,6 +209,26 @@ def test_parts_and_edited_copies_of_items_of_all_lengths(spark):
     assert flagged(spark, [" ".join(x) for x in items], texts) == want
 
 
+def test_one_changed_value_does_not_remove_a_copy(spark):
+    dice = random.Random(3)
+    words = ["".join(dice.choice("abcdefgh") for _ in range(7)) for _ in range(60)]
+    words[20], words[45] = "2", "2"
+    three = list(words)
+    three[33] = "2"
+    one_changed = list(words)
+    one_changed[45] = "3"
+    most = [{20: "7", 33: "7", 45: "5"}.get(k, w) for k, w in enumerate(three)]
+    word = [{20: "one", 45: "one"}.get(k, w) for k, w in enumerate(words)]
+    changed = [{20: "one", 45: "two"}.get(k, w) for k, w in enumerate(words)]
+    items = [" ".join(words), " ".join(three), " ".join(word)]
+    found = flagged(spark, items, [" ".join(x) for x in (one_changed, most, changed)])
+    assert {(0, 0), (1, 1), (2, 2)} <= found
+    # rows that share an id do not tear each other's copies, and each item goes by its own size
+    short = "the red kite flies over Anna and over Anna to 4 hills and 4 lakes of the far north today"
+    torn = short.replace("over Anna to", "over Bea to").replace("4 lakes", "5 lakes")
+    assert flagged(spark, [(7, short), (7, " ".join(words))], [(1, torn), (1, short), (2, " ".join(words)), (3, short)]) == {(1, 7), (2, 7), (3, 7)}
+
+
 def test_windows_equal_plain_python():
     text = "Tom paid 3,50 dollars. Two Miles later he, 20% poorer, saw Ann's dog at 5 km: Run Ann"
     found = decontam.template(text)
