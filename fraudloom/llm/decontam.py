@@ -14,7 +14,8 @@ A document is contaminated when copies cover ``MIN_WORDS`` of an item's words (a
 
 Windows of which less than half (``LEAST_PLAIN`` of ``WINDOW``) are different plain words do not
 count, nor the words that only they cover, unless an item has no others. A name is a word in title
-case that does not begin a sentence. Before the join, documents'
+case that does not begin a sentence; words are hashed and compared a second time with names read as
+plain words, so copies in another case or after another sentence break are found. Before the join, documents'
 windows pass a bitmap of ``BITS`` bits that is broadcast; it never loses a match, and its size does
 not depend on either table. Item windows are salted for the join, so that an item in a third of all
 documents does not meet them in one task.
@@ -30,7 +31,7 @@ import functools
 import itertools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -95,7 +96,7 @@ class _Codes(dict):
             kind = _TITLE if title else _PLAIN
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        self[token] = code = xxhash.xxh3_64_intdigest(lowered.encode()) & ~7 | 1 << 63 | kind
+        self[token] = code = xxhash.xxh3_64_intdigest(token.casefold().encode()) & ~7 | 1 << 63 | kind
         return code
 
 
@@ -104,11 +105,12 @@ _codes = _Codes()
 
 @dataclass(frozen=True)
 class Template:
-    """A code per template word, the kind of its slot (0 for plain words), and the words."""
+    """A code per template word, the kind of its slot (0 for plain words), the words, and codes that read names as words."""
 
     codes: np.ndarray
     kinds: np.ndarray
     tokens: list[str]
+    unnamed: np.ndarray
 
     def slots(self, at: int, width: int) -> list[str | None]:
         """What stands in each slot of a window; null for plain words."""
@@ -138,22 +140,28 @@ def _templates(texts: list[str]) -> tuple[Template, np.ndarray]:
     kinds[((may == _UNIT) | (may == _TITLE_UNIT)) & (before == _NUMBER)] = UNIT
     kinds[may == _NUMBER] = NUMBER
     codes &= ~np.uint64(7)
+    unnamed = codes.copy()
     for kind, code in _PLACEHOLDERS.items():
         codes[kinds == kind] = code
+        if kind != NAME:
+            unnamed[kinds == kind] = code
     stay = may != _MARK
     bounds = np.concatenate(([0], np.cumsum(stay)[np.array(ends) - 1]))
-    return Template(codes[stay], kinds[stay], list(itertools.compress(tokens, stay.tolist()))), bounds
+    return Template(codes[stay], kinds[stay], list(itertools.compress(tokens, stay.tolist())), unnamed[stay]), bounds
+
+
+def _each_width(codes: np.ndarray, widths: Collection[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of the widths that fits, and the hashes of its windows."""
+    joined = spread = mix(codes)
+    for width in range(1, min(max(widths, default=0), len(codes)) + 1):
+        if width > 1:
+            joined = joined[:-1] * _BASE + spread[width - 1 :]
+        if width in widths:
+            yield width, mix(joined + np.uint64(width))
 
 
 def _windows(codes: np.ndarray, width: int) -> np.ndarray:
-    n = len(codes) - width + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    spread = mix(codes)
-    joined = spread[:n].copy()
-    for k in range(1, width):
-        joined = joined * _BASE + spread[k : k + n]
-    return mix(joined + np.uint64(width))
+    return next((hashes for _, hashes in _each_width(codes, [width])), np.empty(0, np.uint64))
 
 
 def seed_width(n: int) -> int:
@@ -193,7 +201,8 @@ class Passage:
         low, high = max(0, -offset), min(self.n, len(doc.codes) - offset)
         if high <= low:
             return same
-        same[low:high] = self.found.codes[low:high] == doc.codes[low + offset : high + offset]
+        there = slice(low + offset, high + offset)
+        same[low:high] = (self.found.codes[low:high] == doc.codes[there]) | (self.found.unnamed[low:high] == doc.unnamed[there])
         clusters: list[list[tuple[int, int]]] = []
         for run in _runs(same):
             if clusters and run[0] - clusters[-1][-1][1] <= GAP:
@@ -215,7 +224,7 @@ class Passage:
         """
         slots = np.flatnonzero(same & (self.found.kinds > 0)).tolist()
         held: dict[str, collections.Counter] = collections.defaultdict(collections.Counter)
-        value = {at: doc.slots(at + offset, 1)[0] for at in slots}
+        value = {at: f"{self.found.kinds[at]}{doc.tokens[at + offset].lower()}" for at in slots}
         for at in slots:
             held[self.values[at]][value[at]] += 1
         kept = {}
@@ -275,8 +284,9 @@ def item_windows(items: DataFrame) -> DataFrame:
                 if len(found.codes) < LEAST_WORDS:
                     continue
                 width = seed_width(len(found.codes))
-                hashes = _windows(found.codes, width).view(np.int64).tolist()
-                rows += [(item, version, p, width, hashes[p]) for p in _good(found, width)]
+                good = _good(found, width)
+                for hashes in {tuple(_windows(codes, width).view(np.int64).tolist()) for codes in (found.codes, found.unnamed)}:
+                    rows += [(item, version, p, width, hashes[p]) for p in good]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
             yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["item", "version", "at", "width", "hash"])
 
@@ -298,12 +308,17 @@ def document_windows(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id",
             doc, content = (batch.column(k).to_numpy() for k in range(2))
             for first, texts in _blocks(batch.column(2)):
                 found, bounds = _templates(texts)
-                for width in widths:
-                    hashes = _windows(found.codes, width).view(np.int64)
+                named = np.concatenate(([0], np.cumsum(found.kinds == NAME)))
+                forms = [(False, *w) for w in _each_width(found.codes, widths)]
+                forms += [(True, *w) for w in _each_width(found.unnamed, widths)] if named[-1] else []
+                for unnamed, width, hashes in forms:
+                    hashes = hashes.view(np.int64)
                     bit = hashes % BITS
                     at = np.flatnonzero(bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
                     row = np.searchsorted(bounds, at, "right") - 1
                     within = at + width <= bounds[row + 1]
+                    if unnamed:  # without a name both forms are one
+                        within &= named[at + width] > named[at]
                     at, row = at[within], row[within]
                     columns = [doc[first + row], content[first + row], (at - bounds[row]).astype(np.int32), np.full(len(at), width, np.int32), hashes[at]]
                     yield pa.record_batch([pa.array(c) for c in columns], ["doc", "content", "pos", "width", "hash"])

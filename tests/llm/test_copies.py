@@ -229,6 +229,15 @@ def test_one_changed_value_does_not_remove_a_copy(spark):
     assert flagged(spark, [(7, short), (7, " ".join(words))], [(1, torn), (1, short), (2, " ".join(words)), (3, short)]) == {(1, 7), (2, 7), (3, 7)}
 
 
+def test_copies_in_another_case_are_found(spark):
+    german = "Jens sah im Garten von Petra und in der Straße von Petra 3 Hunde und 4 Katzen, die Klaus Weiß gehören"
+    break_moved = ITEMS[0][1].replace("to Ben. How", "to Ben, how").replace("Anna has", "There Anna has")
+    units = "He drove 3 Miles from Anna past Ben to Carl and Dora"
+    texts = [ITEMS[0][1].lower(), ITEMS[0][1].upper(), "so " + ITEMS[0][1].lower() + " end", german.upper(), german.lower(), break_moved, units.lower(), units.upper(), units]
+    want = {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 0), (6, 2), (7, 2), (8, 2)}
+    assert flagged(spark, [ITEMS[0][1], german, units], texts) == want
+
+
 def test_windows_equal_plain_python():
     text = "Tom paid 3,50 dollars. Two Miles later he, 20% poorer, saw Ann's dog at 5 km: Run Ann"
     found = decontam.template(text)
