@@ -10,7 +10,9 @@ and without a majority only runs of a window's length with the item's own values
 
 A document is contaminated when copies cover ``MIN_WORDS`` of an item's words (at least
 ``LEAST_COPIED``, or all but one), or ``MIN_SHARE`` of its windows, or when a run at one offset has
-``LONG_RUN`` words. Items of fewer than ``WINDOW`` words must be there as a whole.
+``LONG_RUN`` words. Items of fewer than ``WINDOW`` words must be there as a whole, those of fewer than
+``LEAST_WORDS`` with their own values and symbols. Characters of scripts without spaces are words;
+for ``LONG_RUN`` each is half a word.
 
 Windows of which less than half (``LEAST_PLAIN`` of ``WINDOW``) are different plain words do not
 count, nor the words that only they cover, unless an item has no others. A name is a word in title
@@ -20,8 +22,8 @@ windows pass a bitmap of ``BITS`` bits that is broadcast; it never loses a match
 not depend on either table. Item windows are salted for the join, so that an item in a third of all
 documents does not meet them in one task.
 
-Defined cases: null or empty texts match nothing, items with a null id or fewer than ``LEAST_WORDS``
-words are no passages; items that repeat are matched each, rows that share an id each by
+Defined cases: null or empty texts match nothing, items with a null id, or with
+nothing but sentence marks and white space, are no passages; items that repeat are matched each, rows that share an id each by
 their own text; rows without id are told apart by their text, rows that repeat an id are one document; an empty table on either side matches nothing.
 """
 from __future__ import annotations
@@ -72,6 +74,17 @@ NUMERALS = frozenset(
     "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split()
 )
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%.!?:\n]")
+#: Scripts without spaces between words: each character is a word.
+_UNSPACED = (
+    "\u0e00-\u0e4f\u0e5a-\u0ecf\u0eda-\u0eff\u1000-\u103f\u104a-\u108f\u1780-\u17df\u2e80-\u2fdf\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_LETTER = rf"(?:(?![{_UNSPACED}])[^\W\d_])"
+_CUT_TOKEN = re.compile(rf"\d+(?:[.,]\d+)*|[{_UNSPACED}]|{_LETTER}+(?:['’]{_LETTER}+)*|[%.!?:\n]")
+#: Words, numbers and symbols of items that are too short for a template.
+_LITERAL = re.compile(rf"\d+(?:[.,]\d+)*|[{_UNSPACED}]|{_LETTER}+|[^\w\s.!?:]|_")
+LITERAL_WINDOW = 16
 CACHE_ENTRIES = 150_000
 #: What a token may be, in the low bits of its code.
 _PLAIN, _NUMBER, _MARK, _TITLE, _UNIT, _TITLE_UNIT = range(6)
@@ -129,7 +142,7 @@ def _templates(texts: list[str]) -> tuple[Template, np.ndarray]:
     """The template of several texts in a row, and where each one begins and the last one ends."""
     tokens, ends = [], []
     for text in texts:
-        tokens += _TOKEN.findall(text)
+        tokens += (_CUT_TOKEN if not text.isascii() and _ANY_UNSPACED.search(text) else _TOKEN).findall(text)
         tokens.append("\n")
         ends.append(len(tokens))
     codes = np.fromiter(map(_codes.__getitem__, tokens), np.uint64, len(tokens))
@@ -150,6 +163,20 @@ def _templates(texts: list[str]) -> tuple[Template, np.ndarray]:
     return Template(codes[stay], kinds[stay], list(itertools.compress(tokens, stay.tolist())), unnamed[stay]), bounds
 
 
+def literal(text: str) -> list[str]:
+    """All words, numbers and symbols of a text, sentence marks left out."""
+    return [t.casefold() for t in _LITERAL.findall(text)]
+
+
+@functools.lru_cache(CACHE_ENTRIES)
+def _literal_code(token: str) -> int:
+    return xxhash.xxh3_64_intdigest(token.encode(), 1)
+
+
+def _literal_codes(tokens: list[str]) -> np.ndarray:
+    return np.fromiter(map(_literal_code, tokens), np.uint64, len(tokens))
+
+
 def _each_width(codes: np.ndarray, widths: Collection[int]) -> Iterator[tuple[int, np.ndarray]]:
     """Each of the widths that fits, and the hashes of its windows."""
     joined = spread = mix(codes)
@@ -184,8 +211,14 @@ def _runs(same: np.ndarray) -> list[tuple[int, int]]:
 class Passage:
     """An item to compare with places in documents, word by word."""
 
-    def __init__(self, found: Template):
-        self.found, self.n = found, len(found.codes)
+    def __init__(self, text: str):
+        self.found = found = template(text)
+        self.n = len(found.codes)
+        self.literal = literal(text) if self.n < LEAST_WORDS else None
+        if self.literal is not None:
+            return
+        weights = [0.5 if _ANY_UNSPACED.match(t) else 1.0 for t in found.tokens]  # a character is half a word
+        self.before = np.concatenate(([0], np.cumsum(weights)))
         self.values = found.slots(0, self.n)
         self.width = min(WINDOW, self.n)
         self.good = np.array(_good(found, self.width))
@@ -244,7 +277,7 @@ class Passage:
     def long_run(self, same: np.ndarray) -> bool:
         """Whether a run at one offset is a passage by its length."""
         return any(
-            e - b >= LONG_RUN and self.found.plain(b, e - b) * WINDOW >= LEAST_PLAIN * LONG_RUN for b, e in _runs(same & self.counts)
+            self.before[e] - self.before[b] >= LONG_RUN and self.found.plain(b, e - b) * WINDOW >= LEAST_PLAIN * LONG_RUN for b, e in _runs(same & self.counts)
         )
 
     def share(self, doc: Template, offsets: list[int], min_share: float) -> float | None:
@@ -274,7 +307,7 @@ def passages(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item, version, at, width, hash) of the windows of every item of ``passages``."""
+    """(item, version, at, width, hash) of the windows of every item of ``passages``; literal windows have widths below 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,6 +315,9 @@ def item_windows(items: DataFrame) -> DataFrame:
             for item, version, text in zip(*(c.to_pylist() for c in batch.columns)):
                 found = template(text)
                 if len(found.codes) < LEAST_WORDS:
+                    exact = _literal_codes(literal(text)[:LITERAL_WINDOW])
+                    if len(exact):
+                        rows.append((item, version, 0, -len(exact), _windows(exact, len(exact)).view(np.int64).tolist()[0]))
                     continue
                 width = seed_width(len(found.codes))
                 good = _good(found, width)
@@ -296,10 +332,12 @@ def item_windows(items: DataFrame) -> DataFrame:
 def document_windows(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, content, pos, width, hash) of the documents' windows that pass the bitmap of ``wanted``; content tells texts apart."""
     keys = wanted.select(F.pmod("hash", F.lit(BITS)).cast("int").alias("bit"), "width").distinct()
-    marked = keys.toArrow()  # at most BITS rows a width, and WINDOW widths
+    marked = keys.toArrow()  # at most BITS rows a width, and WINDOW + LITERAL_WINDOW widths
     bitmap = np.zeros(BITS, bool)
     bitmap[marked.column("bit").to_numpy()] = True
     widths = sorted(set(marked.column("width").to_pylist()))
+    exact_widths = [-w for w in widths if w < 0]
+    widths = [w for w in widths if w > 0]
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,18 +347,23 @@ def document_windows(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id",
             for first, texts in _blocks(batch.column(2)):
                 found, bounds = _templates(texts)
                 named = np.concatenate(([0], np.cumsum(found.kinds == NAME)))
-                forms = [(False, *w) for w in _each_width(found.codes, widths)]
-                forms += [(True, *w) for w in _each_width(found.unnamed, widths)] if named[-1] else []
-                for unnamed, width, hashes in forms:
+                forms = [(False, 1, bounds, *w) for w in _each_width(found.codes, widths)]
+                forms += [(True, 1, bounds, *w) for w in _each_width(found.unnamed, widths)] if named[-1] else []
+                if exact_widths:
+                    exact = [literal(t) for t in texts]
+                    ends = np.cumsum([0] + [len(t) for t in exact])
+                    codes = _literal_codes(list(itertools.chain.from_iterable(exact)))
+                    forms += [(False, -1, ends, *w) for w in _each_width(codes, exact_widths)]
+                for unnamed, sign, begins, width, hashes in forms:
                     hashes = hashes.view(np.int64)
                     bit = hashes % BITS
                     at = np.flatnonzero(bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
-                    row = np.searchsorted(bounds, at, "right") - 1
-                    within = at + width <= bounds[row + 1]
+                    row = np.searchsorted(begins, at, "right") - 1
+                    within = at + width <= begins[row + 1]
                     if unnamed:  # without a name both forms are one
                         within &= named[at + width] > named[at]
                     at, row = at[within], row[within]
-                    columns = [doc[first + row], content[first + row], (at - bounds[row]).astype(np.int32), np.full(len(at), width, np.int32), hashes[at]]
+                    columns = [doc[first + row], content[first + row], (at - begins[row]).astype(np.int32), np.full(len(at), sign * width, np.int32), hashes[at]]
                     yield pa.record_batch([pa.array(c) for c in columns], ["doc", "content", "pos", "width", "hash"])
 
     return _texts(docs, id_col, text_col).mapInArrow(run, FOUND)
@@ -359,13 +402,19 @@ def contaminations(
     pairs = _texts(docs, id_col, text_col).join(pairs, ["doc", "content"]).select("doc", "item", "text", "passage", "offsets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text, doc, known = None, None, functools.lru_cache(KNOWN_ITEMS)(lambda x: Passage(template(x)))
+        text, doc, exact, known = None, None, None, functools.lru_cache(KNOWN_ITEMS)(Passage)
         for batch in batches:
             rows = []
             for key, item, own, passage, offsets in zip(*(c.to_pylist() for c in batch.columns)):
                 if own != text:
-                    text, doc = own, template(own)
-                share = known(passage).share(doc, offsets, min_share)
+                    text, doc, exact = own, template(own), None
+                wanted = known(passage)
+                if wanted.literal is None:
+                    share = wanted.share(doc, offsets, min_share)
+                else:
+                    exact = exact or literal(own)
+                    n = len(wanted.literal)
+                    share = 1.0 if any(exact[at : at + n] == wanted.literal for at in offsets) else None
                 if share is not None:
                     rows.append((key, item, share))
             yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["doc", "item", "share"])

@@ -238,6 +238,18 @@ def test_copies_in_another_case_are_found(spark):
     assert flagged(spark, [ITEMS[0][1], german, units], texts) == want
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "小明有十二个苹果，他把五个苹果送给了小红，请问小明现在还剩下几个苹果，他又买了三个"
+    dashes = "=" * 40
+    items = ["Too short!", "2 + 2 = 4", chinese, "", "?!", "x ≥ y", dashes, "名前", None]
+    texts = [
+        "this is too SHORT for most", "too much, short", "so 2+2=4 it is", "2 + 3 = 4 and 2 - 2 = 4", "题目：" + chinese + "。答案是十", chinese.replace("小红", "小兰"),
+        "他把五个苹果", "if x ≥ y then", "if x ≤ y then", "", "a " + dashes + " b", "a " + "=" * 39, "私の名前は",
+    ]
+    want = {(0, 0), (2, 1), (4, 2), (5, 2), (7, 5), (10, 6), (12, 7)}
+    assert flagged(spark, items, texts) == want
+
+
 def test_windows_equal_plain_python():
     text = "Tom paid 3,50 dollars. Two Miles later he, 20% poorer, saw Ann's dog at 5 km: Run Ann"
     found = decontam.template(text)
