@@ -1,13 +1,14 @@
 """Language ID: bit-sliced Bloom filters over character n-grams, popcounts decide.
 
 Each language's filter holds the n-grams that at least ``MIN_SHARE`` of its sampled documents
-contain. The filters are bit-sliced: one array has, per slot, a word with one bit per language, so
+contain. The filters are bit-sliced: one array has, per slot, 64-bit words with one bit per language, so
 ``PROBES`` lookups and an AND give the mask of all languages that (seem to) contain an n-gram. A
 text's n-grams are counted per language bit. A language's filter answers falsely at a known rate f,
 so with h hits of n the corrected share is (h/n - f) / (1 - f); the largest share wins.
 
 Filters are learned from at most ``SAMPLE_ROWS`` documents of each language, chosen by the hash of
-their text. Their size is fixed by ``SLOTS``, so what is broadcast does not grow with the corpus.
+their text. Their size is fixed by ``SLOTS`` and the number of languages (a word for each 64), so what is
+broadcast does not grow with the corpus.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a text whose n-grams
 no filter holds goes to the most frequent learned language with score 0; ties go to the more
@@ -33,7 +34,7 @@ SLOTS = 1 << 20
 PROBES = 3
 MIN_SHARE = 0.02
 SAMPLE_ROWS = 5_000
-MOST_LANGUAGES = 64
+WORD = 64
 BLOCK_CHARS = 1 << 18
 UNKNOWN = "und"
 JUDGED = struct_type(lang_pred=StringType(), score=DoubleType())
@@ -108,10 +109,14 @@ class Model:
     false_rate: np.ndarray
 
     def hits(self, keys: np.ndarray) -> np.ndarray:
-        """Mask of the languages that seem to contain each n-gram."""
-        mask = np.full(len(keys), np.iinfo(np.uint64).max, np.uint64)
-        for slots in _slots(keys):
-            mask &= self.filters[slots]
+        """Masks of the first ``WORD`` languages that seem to contain each n-gram."""
+        return self.word_hits(list(_slots(keys)), 0)
+
+    def word_hits(self, probes: list[np.ndarray], word: int) -> np.ndarray:
+        """Masks of the languages of one word that seem to contain each n-gram."""
+        mask = np.full(len(probes[0]), np.iinfo(np.uint64).max, np.uint64)
+        for slots in probes:
+            mask &= self.filters[word, slots]
         return mask
 
     def judge(self, texts: list[str]) -> list[tuple[str, float]]:
@@ -121,10 +126,12 @@ class Model:
             rows = np.array(rows)
             codes, owner = _normalised(parts)
             for keys, text in _grams(codes, owner):
-                mask, row = self.hits(keys), rows[text]
+                probes, row = list(_slots(keys)), rows[text]
                 n += np.bincount(row, minlength=len(texts))
                 for k in range(len(self.languages)):
-                    hits[k] += np.bincount(row, (mask >> np.uint64(k)) & np.uint64(1), len(texts))
+                    if k % WORD == 0:
+                        mask = self.word_hits(probes, k // WORD)
+                    hits[k] += np.bincount(row, (mask >> np.uint64(k % WORD)) & np.uint64(1), len(texts))
         out = []
         for row, total in enumerate(n):
             if not total or not self.languages:
@@ -139,13 +146,12 @@ class Model:
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Filters of the languages in ``lang_col``."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages: a slot has one bit for each")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()}
     languages = tuple(sizes)
     if not languages:
-        return Model((), np.zeros(SLOTS, np.uint64), np.zeros(0))
+        return Model((), np.zeros((1, SLOTS), np.uint64), np.zeros(0))
     kept = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1 << 30, (SAMPLE_ROWS << 30) // n)))])
+    place = {lang: k for k, lang in enumerate(languages)}
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < kept[F.col("lang")])
 
     def holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +164,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
                     own += [keys for keys, _ in _grams(*_normalised(parts))]
                 found = np.unique(np.concatenate(own))
                 grams.append(found)
-                langs.append(np.full(len(found), languages.index(lang)))
+                langs.append(np.full(len(found), place[lang]))
             pairs = np.stack([np.concatenate(langs).astype(np.int64), np.concatenate(grams).view(np.int64)]) if langs else np.empty((2, 0), np.int64)
             order = np.lexsort(pairs[::-1])
             pairs = pairs[:, order]
@@ -172,11 +178,11 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     least = F.create_map(*[x for k, lang in enumerate(languages) for x in (F.lit(k).cast("long"), F.lit(MIN_SHARE * sampled.get(lang, 0)))])
     # n-grams in 2 % of a bounded sample: at most 50 times the n-grams of one document per language
     table = counts.where(F.col("docs") >= least[F.col("lang")]).select("lang", "gram").toArrow()
-    filters = np.zeros(SLOTS, np.uint64)
-    lang, keys = table.column("lang").to_numpy().astype(np.uint64), table.column("gram").to_numpy().view(np.uint64)
+    filters = np.zeros((-(-len(languages) // WORD), SLOTS), np.uint64)
+    lang, keys = table.column("lang").to_numpy(), table.column("gram").to_numpy().view(np.uint64)
     for slots in _slots(keys):
-        np.bitwise_or.at(filters, slots, np.uint64(1) << lang)
-    filled = np.array([np.count_nonzero(filters >> np.uint64(k) & np.uint64(1)) / SLOTS for k in range(len(languages))])
+        np.bitwise_or.at(filters, (lang // WORD, slots), np.uint64(1) << (lang % WORD).astype(np.uint64))
+    filled = np.array([np.count_nonzero(filters[k // WORD] >> np.uint64(k % WORD) & np.uint64(1)) / SLOTS for k in range(len(languages))])
     return Model(languages, filters, filled**PROBES)
 
 

@@ -68,6 +68,15 @@ def test_filters_contain_what_was_learned(documents):
     assert model.false_rate.max() < 0.01
 
 
+def test_more_languages_than_bits_of_a_word(spark):
+    letters = [chr(0x4E00 + 40 * k) for k in range(140)]
+    texts = [(k, f"{x}{chr(ord(x) + 1)} {chr(ord(x) + 2)}{x}{chr(ord(x) + 3)}", f"lang{k:03}") for k, x in enumerate(letters)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert len(model.languages) == 140 and model.filters.shape == (3, language.SLOTS)
+    assert {r.doc_id: r.lang_pred for r in language.predict_language(docs, model).collect()} == {k: lang for k, _, lang in texts}
+
+
 # Quality
 
 
