@@ -149,13 +149,13 @@ def count_tokens(
 ) -> DataFrame:
     """id, n_bytes, n_tokens, over_limit of every row."""
     table = frequent_lengths(docs, path, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((list(table), np.array(list(table.values()), np.uint8).tobytes()))
+    shared = docs.sparkSession.sparkContext.broadcast((list(table), np.array(list(table.values()), np.uint16)))
 
     table_id = uuid.uuid4().hex
 
     @F.arrow_udf(COUNTED)
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = _counter(path, table_id, lambda: dict(zip(*shared.value)))
+        counter = _counter(path, table_id, lambda: dict(zip(shared.value[0], shared.value[1].tolist())))
         for texts in batches:
             values = [x or "" for x in texts.to_pylist()]
             yield struct_array({

@@ -49,6 +49,16 @@ def test_other_tokenizers_encode_whole_texts(awkward, name):
         assert got[r.doc_id, len((r.text or "").encode())] == (counter.whole(r.text) if r.text else 0)
 
 
+def test_pieces_of_more_than_255_tokens(spark):
+    import tokenizers
+
+    text = "\U00010330" * 64
+    n = len(tokenizers.Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids)
+    assert n == 256
+    rows = spark.createDataFrame([(1, text), (2, "a b")], "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in tokens.count_tokens(rows, JSON).collect()}[1] == n
+
+
 def test_cache_keeps_its_bound(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_ENTRIES", 3)
     lengths = tokens.Lengths({"a": 1}, len)
