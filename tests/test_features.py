@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DELHI, PUNE, frame, txn
+from samples import DELHI, PUNE, frame, txn
 from fraudloom.operators import features
 from fraudloom.plans.hot_keys import segment_hot_keys
 from fraudloom.schemas import CITIES, FEATURES

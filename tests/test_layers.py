@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DATA, frame, txn
+from samples import DATA, frame, txn
 from fraudloom.operators import curated, layers
 from fraudloom.sources import adapter, archive
 

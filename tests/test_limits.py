@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DATA, frame, txn
+from samples import DATA, frame, txn
 from fraudloom import session
 from fraudloom.functions.exact import std_money
 from fraudloom.operators import features, ingest, layers, quality, rules

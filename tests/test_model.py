@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DATA
+from samples import DATA
 from fraudloom.operators import layers, model
 from fraudloom.plans.ranges import running_totals
 from fraudloom.sources import adapter

@@ -13,7 +13,7 @@ except ImportError:  # no DuckDB here
     check = None
 
 import __spark_entry__ as entry
-from conftest import DATA
+from samples import DATA
 
 KEYS = ["adapter_txns", "features_all", "features_hot_split", "finding_reason", "project_processed", "dq_failed_checks",
         "customer_profile", "merchant_risk", "join_detection", "ml_split", "ml_pr_auc", "health_latency_pcts",

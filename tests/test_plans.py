@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import DATA
+from samples import DATA
 from fraudloom.operators import curated, features, ingest, layers, quality
 from fraudloom.sources import adapter
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import DELHI, frame, txn
+from samples import DELHI, frame, txn
 from fraudloom.operators import features, rules
 
 THERE = {"city": "Delhi", "latitude": DELHI[0], "longitude": DELHI[1]}

@@ -6,7 +6,7 @@ import time
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import DATA
+from samples import DATA
 from fraudloom.operators import health, layers
 from fraudloom.sources import adapter, streams
 from fraudloom.streaming import jobs
