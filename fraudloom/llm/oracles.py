@@ -91,4 +91,79 @@ SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesc
 FROM documents AS d LEFT JOIN g ON g.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op5_line_dedup": OP5, "op6_quality_rules": OP6, "op8_near_duplicates": OP8, "op10_secret_scan": OP10}
+OP11 = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 3))::INT AS bucket FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS words, (1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::BIGINT AS weight
+  FROM d GROUP BY source),
+-- Sources fill up in the order of words per weight; the level is the first that its next source can hold.
+o AS (SELECT *, sum(words) OVER ()::BIGINT AS all_words, sum(weight) OVER ()::BIGINT AS all_weight,
+    row_number() OVER (ORDER BY words / weight, source) AS place,
+    coalesce(sum(words) OVER (ORDER BY words / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS full_words,
+    coalesce(sum(weight) OVER (ORDER BY words / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS full_weight
+  FROM s),
+l AS (SELECT *, (all_words - 3 * full_words) / (all_weight - full_weight) AS level FROM o),
+f AS (SELECT arg_min(level, place) AS level FROM l WHERE NOT 3 * words < weight * level),
+t AS (SELECT source, words, least(weight * (SELECT level FROM f), (3 * words)::DOUBLE) AS target FROM s),
+r AS (SELECT *, CASE WHEN words > 0 THEN floor(target / words) ELSE 0 END AS times FROM t),
+u AS (SELECT source, bucket AS edge, sum(sum(size)) OVER (PARTITION BY source ORDER BY bucket) AS upto FROM d GROUP BY source, bucket
+  UNION ALL SELECT source, -1, 0 FROM s),
+c AS (SELECT r.source, min({'off': abs(upto - (target - times * words)), 'edge': edge}).edge AS last
+  FROM r JOIN u ON u.source IS NOT DISTINCT FROM r.source GROUP BY r.source)
+SELECT doc_id, size, r.words AS source_size, r.target AS target, ((times + (bucket <= c.last)::INT) * size)::BIGINT AS taken
+FROM d JOIN r ON r.source IS NOT DISTINCT FROM d.source JOIN c ON c.source IS NOT DISTINCT FROM d.source
+"""
+
+# The checksum bit by bit: a byte is mixed in, then eight shifts, written as -1.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END), 4294967295::BIGINT)"""
+
+OP12 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT conv_id, turn, length(text) AS n, md5('trie-0' || length(role) || ':' || role || text) AS h FROM t),
+o AS (SELECT conv_id, list({{'n': n, 'h': h}} ORDER BY turn NULLS FIRST, h) AS own, conv_id - conv_id % 100 AS base,
+    {_CRC.format("conv_id::VARCHAR")} % 6 AS head FROM i GROUP BY conv_id),
+r AS (SELECT o.conv_id, list_concat(coalesce(b.own, [])[1 : o.head], o.own[o.head + 1 :]) AS turns FROM o LEFT JOIN o AS b ON b.conv_id = o.base),
+p AS (SELECT conv_id, unnest(range(0, len(turns) + 1)) AS d, turns FROM r),
+q AS (SELECT conv_id, d, len(turns) AS stop, array_to_string(list_transform(turns[1 : d], lambda x: x.h), '') AS key,
+    CASE WHEN d > 0 THEN turns[d].n ELSE 0 END AS n FROM p),
+g AS (SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, min(n) AS n,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE stop = d) AS ends FROM q GROUP BY d, key),
+k AS (SELECT d - 1 AS d, substr(key, 1, 32 * (d - 1)) AS key, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1, 2),
+v AS (SELECT g.*, coalesce(n_children, 0) AS n_children, (coalesce(n_children, 0) = 0)::INT AS leaf, (n_convs - 1) * n AS saved
+  FROM g LEFT JOIN k ON k.d = g.d AND k.key = g.key),
+s AS (SELECT q.d, q.key, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM v JOIN q ON q.conv_id = v.conv_id AND q.d <= v.d GROUP BY q.d, q.key)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM v JOIN s ON s.d = v.d AND s.key = v.key LEFT JOIN v AS u ON u.d = v.d - 1 AND u.key = substr(v.key, 1, 32 * (v.d - 1))
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: {_LOWER.format("w")}) AS ws FROM documents),
+w AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+f AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n FROM g JOIN kept ON kept.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (SELECT f.*, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY f.lang, source) + v) AS p FROM f JOIN v ON v.lang = f.lang),
+t AS (SELECT p.lang, term, sum(n) AS n FROM p GROUP BY p.lang, term),
+q AS (SELECT t.lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY t.lang) + v) AS q FROM t JOIN v ON v.lang = t.lang),
+x AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p AS a JOIN p AS b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g AS a JOIN g AS b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+  FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": OP5, "op6_quality_rules": OP6, "op8_near_duplicates": OP8, "op10_secret_scan": OP10,
+    "op11_source_mixing": OP11, "op12_prefix_trie": OP12, "op13_source_divergence": OP13,
+}

@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudloom.llm import bpe, decontam, language, licenses, lines, neardup, quality, rules, secret_scan, tokens
+from fraudloom.llm import (
+    bpe, decontam, divergence, language, licenses, lines, mixing, neardup, quality, rules, secret_scan, tokens, trie,
+)
 from fraudloom.llm.oracles import ORACLES
 from fraudloom.llm.text import read
 
@@ -89,9 +91,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(read(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = trie.build_trie(read(spark, sf_dir, "conversations")).nodes
+    return found.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id, op2_quality_ranking, op3_token_counts, op4_license_scan, op5_line_dedup, op6_quality_rules,
         op7_decontamination, op8_near_duplicates, op9_byte_bpe, op10_secret_scan,
+        op11_source_mixing, op12_prefix_trie, op13_source_divergence,
     )
     return {f.__name__: f for f in found}
