@@ -36,13 +36,26 @@ def throughput_vs_alerts(processed: DataFrame, fraud: DataFrame) -> DataFrame:
     return throughput(processed).join(alerts(fraud), "minute", "full").fillna(0, ["txns", "alerts"])
 
 
-def bucket_counts(latencies: DataFrame, width: str = "5 minutes", slide: str | None = None) -> DataFrame:
+BOUNDS = [f"le_{i}" for i in range(len(BUCKETS))]
+PANE = "1 minute"
+
+
+def bucket_counts(latencies: DataFrame, width: str = "5 minutes") -> DataFrame:
     """Cumulative histogram per time window: rows at or below each bound, and all rows."""
-    window = F.window("observed_at", width, slide) if slide else F.window("observed_at", width)
-    counts = [F.count_if(F.col("seconds") <= bound).alias(f"le_{i}") for i, bound in enumerate(BUCKETS)]
-    return (latencies.groupBy(window.alias("w")).agg(*counts, F.count("seconds").alias("observed"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    *[f"le_{i}" for i in range(len(BUCKETS))], "observed"))
+    counts = [F.count_if(F.col("seconds") <= bound).alias(name) for name, bound in zip(BOUNDS, BUCKETS)]
+    return (latencies.groupBy(F.window("observed_at", width).alias("w")).agg(*counts, F.count("seconds").alias("observed"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *BOUNDS, "observed"))
+
+
+def sliding(panes: DataFrame, panes_per_window: int = 5) -> DataFrame:
+    """Histograms of windows of several panes that start a pane apart. Histograms add up, so what is
+    dealt to the windows is a row per pane and not a row per latency."""
+    pane = F.expr(f"INTERVAL {PANE}")
+    back = F.explode(F.sequence(F.lit(0), F.lit(panes_per_window - 1)))
+    start = (F.col("window_start") - F.col("back") * pane).alias("window_start")
+    dealt = panes.withColumn("back", back).select(start, *BOUNDS, "observed")
+    sums = [F.sum(c).alias(c) for c in (*BOUNDS, "observed")]
+    return dealt.groupBy("window_start").agg(*sums).withColumn("window_end", F.col("window_start") + panes_per_window * pane)
 
 
 def bucket_quantile(q: float) -> Column:
@@ -61,17 +74,20 @@ def bucket_quantile(q: float) -> Column:
     return F.when(F.col("observed") > 0, value)
 
 
-def latency_percentiles(
-    latencies: DataFrame, quantiles: tuple[float, ...] = QUANTILES, width: str = "5 minutes",
-    slide: str | None = "1 minute",
-) -> DataFrame:
-    """Quantiles in milliseconds per (sliding) window."""
+def percentiles(histograms: DataFrame, quantiles: tuple[float, ...] = QUANTILES) -> DataFrame:
+    """Quantiles in milliseconds of each histogram."""
     made = [F.round(bucket_quantile(q) * 1000, 1).alias(f"p{round(q * 100)}_ms") for q in quantiles]
-    return bucket_counts(latencies, width, slide).select("window_start", "window_end", *made)
+    return histograms.select("window_start", "window_end", *made)
+
+
+def latency_percentiles(latencies: DataFrame, quantiles: tuple[float, ...] = QUANTILES, slide: bool = True) -> DataFrame:
+    """Quantiles per window of five minutes, one beginning each minute with ``slide``."""
+    histograms = sliding(bucket_counts(latencies, PANE)) if slide else bucket_counts(latencies)
+    return percentiles(histograms, quantiles)
 
 
 def p99(latencies: DataFrame) -> DataFrame:
-    return latency_percentiles(latencies, (0.99,), slide=None)
+    return latency_percentiles(latencies, (0.99,), slide=False)
 
 
 def running_counts(gated: DataFrame) -> list[Column]:

@@ -25,8 +25,14 @@ def drop_file(rows, path, low, high):
 
 
 def run(messages, root, job, **kw):
-    start = jobs.start_landing if job == "landing" else jobs.start_scoring
-    start(messages, f"{root}/out", f"{root}/progress-{job}", once=True, **kw).awaitTermination()
+    if job == "landing":
+        jobs.start_landing(messages, f"{root}/out", f"{root}/progress-landing", once=True, **kw).awaitTermination()
+        return
+    txns = jobs.valid_transactions(messages)
+    if not kw.get("copies_count"):
+        jobs.start_admission(messages, f"{root}/out", f"{root}/progress-admission", once=True).awaitTermination()
+        txns = streams.admitted(messages.sparkSession, f"{root}/out", txns.schema, 2)
+    jobs.start_scoring(txns, f"{root}/out", f"{root}/progress-scoring", once=True, **kw).awaitTermination()
 
 
 def test_stream_equals_batch_across_a_restart(spark, tmp_path):
@@ -91,7 +97,9 @@ def test_outgoing_messages_can_be_sent(spark, tmp_path):
 
     run(streams.file_messages(spark, source, 1), str(tmp_path), "scoring", send=send)
     want = layers.build_layers(part(rows, 0, 200))
-    assert sent == [(name, ["key", "value"], want[name].count()) for name in ("cleaned", "suspicious")]
+    for name in ("cleaned", "suspicious"):
+        assert sum(n for kind, _, n in sent if kind == name) == want[name].count()
+    assert all(columns == ["key", "value"] for _, columns, _ in sent)
 
 
 def test_replaying_a_batch_changes_nothing(spark, tmp_path):
