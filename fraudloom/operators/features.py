@@ -7,8 +7,14 @@ same second step, so batch and stream cannot drift apart.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudloom.functions import clock
 from fraudloom.functions.exact import cents, half_up, money
@@ -52,14 +58,59 @@ def _counts_by_time(rows: DataFrame, keys: tuple[str, ...], history: int) -> Dat
     return rows.select("*", recent(HOUR_US).alias("prior_hour"), recent(MINUTE_US).alias("prior_minute"))
 
 
-def _counts_by_arrival(rows: DataFrame, remembered: WindowSpec) -> DataFrame:
-    """The same in arrival order, where a remembered event may also lie in the future."""
-    rows = rows.select("*", F.collect_list("event_us").over(remembered).alias("_times"))
+NEVER = -(2**62)  # a time that no span reaches
+ROWS_AT_ONCE = 4096
 
-    def recent(span: int) -> Column:
-        return F.size(F.filter("_times", lambda t: F.col("event_us") - t <= span))
 
-    return rows.select("*", recent(HOUR_US).alias("prior_hour"), recent(MINUTE_US).alias("prior_minute")).drop("_times")
+def _count_in_blocks(keys: tuple[str, ...], history: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Count, for rows sorted by key and arrival, the remembered times within a span of each row.
+
+    Rows come in blocks; the times and the key of the last ``history`` rows are carried to the next.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, tail, tail_rows = None, np.full(history, NEVER), 0  # rows of the last key at the end of ``tail``
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = [batch.column(k) for k in keys]
+            first_key = tuple(c[0].as_py() for c in columns)
+            changes = np.zeros(n, bool)
+            for c in columns:
+                same = pc.equal(c.slice(1), c.slice(0, n - 1))
+                both_null = pc.and_(c.slice(1).is_null(), c.slice(0, n - 1).is_null())
+                changes[1:] |= ~pc.fill_null(same, both_null).to_numpy(zero_copy_only=False)
+            begins = np.where(changes, np.arange(n), 0)
+            begins = np.maximum.accumulate(begins)  # where each row's key begins in this block
+            known = np.arange(n) - begins
+            if first_key == last_key:
+                known[begins == 0] += tail_rows
+            times = np.concatenate([tail, pc.fill_null(batch.column("event_us"), NEVER).to_numpy()])
+            found = np.empty((2, n), np.int32)
+            frames = np.lib.stride_tricks.sliding_window_view(times[:-1], history)
+            reach = np.arange(history, 0, -1)
+            for at in range(0, n, ROWS_AT_ONCE):
+                part = slice(at, at + ROWS_AT_ONCE)
+                age = times[history:][part, None] - frames[part]
+                mine = reach <= known[part, None]
+                for k, span in enumerate((HOUR_US, MINUTE_US)):
+                    found[k, part] = ((age <= span) & mine).sum(1)
+            last_key = tuple(c[n - 1].as_py() for c in columns)
+            tail, tail_rows = times[-history:].copy(), min(history, int(known[-1]) + 1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found[0]), pa.array(found[1])], [*batch.schema.names, "prior_hour", "prior_minute"])
+
+    return count
+
+
+def _counts_by_arrival(rows: DataFrame, keys: tuple[str, ...], by: list[Column], history: int) -> DataFrame:
+    """The same in arrival order, where a remembered event may also lie in the future.
+
+    The rows come from windows over the same keys, so each key's rows lie in one partition already.
+    """
+    schema = T.StructType([*rows.schema.fields, T.StructField("prior_hour", T.IntegerType()), T.StructField("prior_minute", T.IntegerType())])
+    in_order = rows.sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys], *by)
+    return in_order.mapInArrow(_count_in_blocks(keys, history), schema)
 
 
 def history_columns(
@@ -111,8 +162,6 @@ def history_columns(
     )
     if order == "event_time":
         rows = _counts_by_time(rows, seg.keys, history)
-    else:
-        rows = _counts_by_arrival(rows, per_user.rowsBetween(-history, -1))
 
     zero = F.lit(0).cast("decimal(38,0)")
     total = (F.col("_sum") - F.coalesce("_sum0", zero)).cast("decimal(38,0)")
@@ -125,9 +174,11 @@ def history_columns(
     )
     spread = F.col("hist_n") * F.col("_hist_squares") - F.col("hist_cents") * F.col("hist_cents")
     rows = rows.withColumn("hist_spread", spread.cast("decimal(38,0)"))
-    # Last, because it needs another sort: the exchange above already keeps (user, merchant) together.
+    # Late, because it needs another sort: the exchange above already keeps (user, merchant) together.
     visits = F.sum("visits").over(per_merchant.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.select("*", (visits - F.col("visits")).alias("merchant_prior"))
+    if order == "arrival":
+        rows = _counts_by_arrival(rows, seg.keys, ranked, history)
     if seg.split:
         rows = rows.filter(~F.col(IS_CONTEXT))
     return rows.select(*txns.columns, *HISTORY_COLUMNS)

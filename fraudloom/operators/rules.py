@@ -1,12 +1,17 @@
-"""Fraud rules over the engineered features, as column expressions."""
+"""Fraud rules over the engineered features, as column expressions.
+
+Limits are numbers, or come from a table of periods: then each event is judged by the limits that were
+valid at its time.
+"""
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudloom.functions.exact import cents
+from fraudloom.plans.hot_keys import position_in
 from fraudloom.schemas import FINDING, STATUS_TAIL
 
 
@@ -26,6 +31,48 @@ class Thresholds:
 
 
 DEFAULT = Thresholds()
+NAMES = tuple(f.name for f in fields(Thresholds))
+LIMITS = "_limits"
+MOST_PERIODS = 10_000
+
+
+class RulesTable:
+    """Limits with periods of validity: rows ``valid_from`` (timestamp, inclusive) and any fields of
+    ``Thresholds``. A period ends where the next begins; before the first the defaults hold, and so they do
+    for fields that a row leaves null. Of rows with one ``valid_from`` the last in ``revision`` order counts,
+    or with the highest values where the table has no such column.
+
+    The table is an index for every event: its periods, at most ``MOST_PERIODS``, become one sorted row that
+    is broadcast and searched by halves. A stream reads the table again with each micro-batch.
+    """
+
+    def __init__(self, table: DataFrame) -> None:
+        given = [n for n in NAMES if n in table.columns]
+        kinds = {f.name: "int" if f.type == "int" else "double" for f in fields(Thresholds)}
+        limits = F.struct(*[
+            F.coalesce(F.col(n).cast(kinds[n]) if n in given else F.lit(None), F.lit(getattr(DEFAULT, n))).alias(n) for n in NAMES])
+        order = F.struct("revision", limits) if "revision" in table.columns else limits
+        periods = table.where(F.col("valid_from").isNotNull()).groupBy(F.unix_micros("valid_from").alias("from_us")).agg(
+            F.max_by(limits, order).alias("limits"))
+        found = periods.agg(F.count("*").alias("n"), F.max("limits.failed_burst").alias("burst")).first()
+        if found["n"] > MOST_PERIODS:
+            raise ValueError(f"{found['n']} periods of rules; at most {MOST_PERIODS} are broadcast")
+        self.n = found["n"]
+        self.failed_burst = max(DEFAULT.failed_burst, found["burst"] or 0)
+        self.index = periods.agg(F.sort_array(F.collect_list(F.struct("from_us", "limits"))).alias("_periods")).withColumn("_one", F.lit(1))
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the struct ``LIMITS`` that holds at ``event_us``."""
+        joined = rows.withColumn("_one", F.lit(1)).join(F.broadcast(self.index), "_one", "left").drop("_one")
+        begins = F.transform("_periods", lambda p: p["from_us"])
+        place = position_in(begins, F.col("event_us"), max(1, self.n))
+        default = F.struct(*[F.lit(getattr(DEFAULT, n)).alias(n) for n in NAMES])
+        return joined.withColumn(LIMITS, F.coalesce(F.get("_periods", place - 1)["limits"], default)).drop("_periods")
+
+    @staticmethod
+    def columns() -> Thresholds:
+        """The limits of each row."""
+        return Thresholds(**{n: F.col(LIMITS)[n] for n in NAMES})
 
 # Rule names in the order findings are listed, with their severity.
 SEVERITIES = {
@@ -37,7 +84,7 @@ SEVERITIES = {
 }
 
 
-def statuses_needed(limits: Thresholds) -> int:
+def statuses_needed(limits: Thresholds | RulesTable) -> int:
     """Statuses a row must remember, the current one included."""
     return max(STATUS_TAIL, limits.failed_burst + 1)
 
@@ -100,8 +147,8 @@ def reasons(limits: Thresholds = DEFAULT, light: bool = False, amount: Column |
         "VELOCITY": F.concat(col("payment_velocity").cast("string"), lit(" transactions within 60 seconds")),
         "HIGH_VALUE": value,
         "NEW_DEVICE": device,
-        "REPEATED_FAILURES": lit(
-            f"{limits.failed_burst} consecutive failures before {'' if light else 'a '}success"),
+        "REPEATED_FAILURES": F.concat(
+            lit(limits.failed_burst).cast("string"), lit(f" consecutive failures before {'' if light else 'a '}success")),
     }
 
 
@@ -111,7 +158,7 @@ def score_severity(score: Column, limits: Thresholds = DEFAULT) -> Column:
 
 
 def evaluate(
-    features: DataFrame, limits: Thresholds = DEFAULT, score_col: str | None = None, light: bool = False
+    features: DataFrame, limits: Thresholds | RulesTable = DEFAULT, score_col: str | None = None, light: bool = False
 ) -> DataFrame:
     """Add ``findings``, ``rule_flagged`` (rules only), ``ml_flagged`` and ``is_flagged``.
 
@@ -120,6 +167,12 @@ def evaluate(
     remembered = features.schema["recent_statuses"].metadata.get("tail", STATUS_TAIL)
     if limits.failed_burst >= remembered:
         raise ValueError(f"failed_burst={limits.failed_burst} needs features with tail > {limits.failed_burst}")
+    if isinstance(limits, RulesTable):
+        return _evaluated(limits.attach(features), limits.columns(), score_col, light).drop(LIMITS)
+    return _evaluated(features, limits, score_col, light)
+
+
+def _evaluated(features: DataFrame, limits: Thresholds, score_col: str | None, light: bool) -> DataFrame:
     value = amount_value(features.columns)
     text = reasons(limits, light, value)
     made = [

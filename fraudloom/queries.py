@@ -15,7 +15,8 @@ from fraudloom.operators import (
 )
 from fraudloom.session import checkpoint_root, configure, scratch_folder
 from fraudloom.sources import adapter, archive, streams
-from fraudloom.streaming import state
+from fraudloom.streaming import health as panels
+from fraudloom.streaming import jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -277,6 +278,30 @@ def rules_thresholds(spark: SparkSession, d: str) -> DataFrame:
             .agg(F.count("*").alias("events")))
 
 
+def rules_periods(spark: SparkSession) -> rules.RulesTable:
+    """Limits that change twice while the test events run; other fields keep their defaults."""
+    rows = [(adapter.EPOCH_US + adapter.RULES_CHANGE_US, 2, None, 10), (adapter.EPOCH_US + 2 * adapter.RULES_CHANGE_US, None, 3.0, None)]
+    table = spark.createDataFrame(rows, "us long, velocity int, zscore double, times_average int")
+    return rules.RulesTable(table.withColumn("valid_from", F.timestamp_micros("us")))
+
+
+def rules_table(spark: SparkSession, d: str) -> DataFrame:
+    """Findings under limits that change at stated instants."""
+    found = rules.evaluate(features.add_features(txns(spark, d)), rules_periods(spark))
+    return found.select("seq", F.array_join(F.transform("findings", lambda f: f["rule"]), ",").alias("rules"))
+
+
+def rules_table_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same in a stream, where events also arrive after a change that is valid from a later time."""
+    rows = txns(spark, d, late=True)
+    path, out = in_steps(rows, "seq", "txns"), scratch_folder(spark, "stream-rules")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", STEP_FILES).parquet(path)
+    found = jobs.flag(stream.select("user_id", "local_us", *features.INPUTS), limits=rules_periods(spark))
+    named = found.select("seq", F.array_join(F.transform("findings", lambda f: f["rule"]), ",").alias("rules"))
+    panels.start_panel(named, out, f"{out}-progress", once=True).awaitTermination()
+    return spark.read.parquet(out)
+
+
 def rules_light(spark: SparkSession, d: str) -> DataFrame:
     found = rules.evaluate(features.add_light_features(txns(spark, d)), light=True)
     return found.select("transaction_id", F.explode("findings").alias("f")).select(
@@ -384,6 +409,97 @@ def health_running_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(got, "accepted bigint, rejected bigint, flagged bigint")
 
 
+# ---- health of streams -------------------------------------------------------------------------------------------
+
+
+def split_stream(rows: DataFrame, time: str) -> tuple[str, DataFrame, DataFrame]:
+    """Rows that arrive in steps by ``seq``, parted by lateness: where, the stream in time, the late table.
+
+    One row two hours later than all others comes last, so that the windows of the others close.
+    """
+    spark, root = rows.sparkSession, scratch_folder(rows.sparkSession, "panel")
+    source = in_steps(rows, "seq", "panel-rows")
+    last = rows.agg(F.max(time).alias("t")).select((F.col("t") + F.expr("INTERVAL 2 HOURS")).alias("t"))
+    closing = [F.col("t").alias(c) if c == time else F.lit(None).cast(kind).alias(c) for c, kind in rows.dtypes]
+    last.select(*closing).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", STEP_FILES).parquet(source)
+    panels.start_split(stream, root, f"{root}-split", time, once=True).awaitTermination()
+    return root, panels.in_time(spark, root, rows.schema, time), panels.late(spark, root, rows.schema)
+
+
+def closed_windows(panel: DataFrame, root: str) -> DataFrame:
+    panels.start_panel(panel, f"{root}/closed", f"{root}-closed", once=True).awaitTermination()
+    return panel.sparkSession.read.schema(panel.schema).parquet(f"{root}/closed")
+
+
+def panel(rows: DataFrame, time: str, name: str, *by: str) -> DataFrame:
+    """A counting panel of a stream, late rows included."""
+    root, live, late = split_stream(rows, time)
+    closed = closed_windows(health.per_minute(live, time, name, *by), root)
+    return panels.with_late(closed, health.per_minute(late, time, name, *by), "minute", *by).drop("late")
+
+
+def arriving(spark: SparkSession, d: str) -> DataFrame:
+    """Processed events on the ingest clock, some back-dated."""
+    return txns(spark, d, late=True).select("seq", F.timestamp_micros("ingested_us").alias("processed_at"))
+
+
+def arriving_alerts(spark: SparkSession, d: str) -> DataFrame:
+    found = flagged(spark, d, late=True).select("seq", F.col("ingested_at").alias("detected_at"), F.explode("findings").alias("f"))
+    return found.select("seq", "detected_at", F.col("f.rule").alias("rule_triggered"))
+
+
+def arriving_rejections(spark: SparkSession, d: str) -> DataFrame:
+    rows = rejected(spark, d)
+    return rows.select(F.unix_micros("rejected_at").alias("seq"), "rejected_at")
+
+
+def health_throughput_vs_alerts_stream(spark: SparkSession, d: str) -> DataFrame:
+    rows, found = arriving(spark, d), layers.staged(arriving_alerts(spark, d), "alerts")
+    root, live_rows, late_rows = split_stream(rows, "processed_at")
+    _, live_found, late_found = split_stream(found, "detected_at")
+    closed = closed_windows(panels.throughput_vs_alerts(live_rows, live_found), root)
+    whole = closed.unionByName(health.throughput_vs_alerts(late_rows, late_found))
+    return whole.groupBy("minute").agg(F.sum("txns").alias("txns"), F.sum("alerts").alias("alerts"))
+
+
+def health_latency_pcts_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Quantiles of sliding windows from panes that a stream closes, and from panes of late rows."""
+    seconds = ((F.col("ingested_us") - F.col("event_us")) / 1e6).alias("seconds")
+    rows = txns(spark, d, late=True).select("seq", F.timestamp_micros("ingested_us").alias("observed_at"), seconds)
+    root, live, late = split_stream(rows, "observed_at")
+    panes = closed_windows(panels.latency_panes(live), root).unionByName(panels.latency_panes(late))
+    return health.percentiles(health.sliding(panes))
+
+
+def stream_layers(spark: SparkSession, d: str) -> str:
+    """The three streaming queries over the messages in steps, and again in a later run over copies of the first."""
+    root, source = scratch_folder(spark, "streams"), in_steps(adapter.messages(spark, d), "offset", "messages")
+
+    def run() -> None:
+        messages = streams.file_messages(spark, source, STEP_FILES)
+        schema = jobs.valid_transactions(messages).schema
+        jobs.start_landing(messages, root, f"{root}-landing", once=True).awaitTermination()
+        jobs.start_admission(messages, root, f"{root}-admission", once=True).awaitTermination()
+        jobs.start_scoring(streams.admitted(spark, root, schema), root, f"{root}-scoring", once=True).awaitTermination()
+
+    run()
+    again = adapter.messages(spark, d).where("offset % 3 = 0").withColumns({
+        "offset": F.col("offset") + 1_000_000_000, "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 9 DAYS")})
+    again.coalesce(STEP_FILES).write.mode("append").parquet(source)
+    run()
+    return root
+
+
+def sink_processed_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Ids that come again days later, in another run, are in the processed table once."""
+    return spark.read.parquet(f"{stream_layers(spark, d)}/processed").select("transaction_id", "amount")
+
+
+def health_running_counts_stream(spark: SparkSession, d: str) -> DataFrame:
+    return panels.running_totals(spark, stream_layers(spark, d))
+
+
 # ---- model -------------------------------------------------------------------------------------------------------
 
 def halves(spark: SparkSession, d: str) -> DataFrame:
@@ -513,6 +629,8 @@ REGISTRY: dict[str, Query] = {
     "findings_array": findings_array,
     "finding_reason": finding_reason,
     "rules_thresholds": rules_thresholds,
+    "rules_table": rules_table,
+    "rules_table_stream": rules_table_stream,
     "rules_light": rules_light,
     "join_customer_fraud": join_customer_fraud,
     "join_fraud_merchant": join_fraud_merchant,
@@ -551,6 +669,14 @@ REGISTRY: dict[str, Query] = {
     "health_alerts_by_rule": lambda s, d: health.alerts_by_rule(fraud(s, d)),
     "health_latency_pcts": lambda s, d: health.latency_percentiles(latencies(s, d)),
     "health_running_counts": health_running_counts,
+    "health_throughput_stream": lambda s, d: panel(arriving(s, d), "processed_at", "txns"),
+    "health_rejections_stream": lambda s, d: panel(arriving_rejections(s, d), "rejected_at", "rejected"),
+    "health_alerts_stream": lambda s, d: panel(arriving_alerts(s, d), "detected_at", "alerts"),
+    "health_alerts_by_rule_stream": lambda s, d: panel(arriving_alerts(s, d), "detected_at", "alerts", "rule_triggered"),
+    "health_throughput_vs_alerts_stream": health_throughput_vs_alerts_stream,
+    "health_latency_pcts_stream": health_latency_pcts_stream,
+    "health_running_counts_stream": health_running_counts_stream,
+    "sink_processed_stream": sink_processed_stream,
     "ml_vector": ml_vector,
     "ml_label": lambda s, d: model.labels(ingest.raw_rows(parsed(s, d))),
     "ml_gate": lambda s, d: model.gate_counts(labelled(s, d)),

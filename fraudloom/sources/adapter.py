@@ -16,6 +16,7 @@ EPOCH_US = 1_704_067_200_000_000  # 2024-01-01, where the test events begin
 SQUEEZE = 1000
 OFFSET_US = 19_800_000_000  # +05:30, written by every fourth user
 LATE_US = 120_000_000
+RULES_CHANGE_US = 600_000_000  # after this time, and again after it, the test rules change
 TOPIC = "transactions.raw"
 
 
