@@ -97,7 +97,12 @@ def dedup_lines(
     docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text",
     out: str = "lines",
 ) -> DataFrame:
-    """``docs`` with a struct column ``out``: n_lines, n_dropped, kept (the new text), kept_sha256."""
+    """``docs`` with a struct column ``out``: n_lines, n_dropped, kept (the new text), kept_sha256.
+
+    ``out`` must not be the name of a column of ``docs``.
+    """
+    if out.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the documents have a column {out!r}")
     hashes = line_hashes(in_batches(docs), min_chars, id_col, text_col)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     frequent = frequent_lines(hashes, min_docs).withColumn("salt", salts)

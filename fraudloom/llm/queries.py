@@ -46,7 +46,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lines.dedup_lines(docs, min_docs=10, min_chars=1)
     return found.select("doc_id", "lines.n_lines", "lines.n_dropped", "lines.kept_sha256")
 
 
