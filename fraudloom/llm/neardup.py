@@ -140,7 +140,7 @@ def _registers(column: pa.Array, m: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
-    """(doc, id, n, hi, lo, registers) of every row; hi and lo name its set, null if that is empty."""
+    """(doc, id, text_key, n, hi, lo, registers) of every row; hi and lo name its set, null if that is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,12 +151,13 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) ->
                     names.append(_name(found))
                     rows.append(sketch(found, settings.registers).tobytes() if len(found) else None)
             yield pa.record_batch([
-                batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array([x for x, _ in names], pa.int64()),
+                batch.column(0), batch.column(1), batch.column(3), pa.array(n, pa.int64()), pa.array([x for x, _ in names], pa.int64()),
                 pa.array([x for _, x in names], pa.int64()), pa.array(rows, pa.binary()),
-            ], ["doc", "id", "n", "hi", "lo", "registers"])
+            ], ["doc", "id", "text_key", "n", "hi", "lo", "registers"])
 
-    rows = docs.select(row_key(id_col, text_col).alias("doc"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc long, id long, n long, hi long, lo long, registers binary")
+    text = F.col(text_col)
+    rows = docs.select(row_key(id_col, text_col).alias("doc"), F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    return rows.mapInArrow(run, "doc long, id long, text_key long, n long, hi long, lo long, registers binary")
 
 
 def _members(representatives: DataFrame, settings: Settings) -> DataFrame:
@@ -289,9 +290,12 @@ def _rest(torn: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
 
     def packed(rows: DataFrame, side: str) -> DataFrame:
         members = F.collect_list(F.struct("doc", "label", "n", "u", "elements"))
-        return rows.groupBy("bucket", chunk.alias("chunk")).agg(members.alias(side)).drop("chunk")
+        return rows.groupBy("bucket", n_chunks.alias("n_chunks"), chunk.alias("chunk")).agg(members.alias(side))
 
-    chunks = packed(rows.where("label <> main"), "x").join(packed(rows, "y"), "bucket").select("x", "y")
+    # Each block goes to every block of the other side by that block's number, so a bucket's pairs are dealt out.
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1)).alias("chunk")
+    x = packed(rows.where("label <> main"), "x").select("bucket", "x", others)
+    chunks = x.join(packed(rows, "y"), ["bucket", "chunk"]).select("x", "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,9 +324,11 @@ def _own_elements(sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = EXACT_85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc (key), id, n_shingles, component_id, kept of every row.
+    """doc (key), id, n_shingles, component_id, kept, and text_key and component of every row.
 
-    ``kept`` is true for the one document of each component that stays; rows that repeat it are equal.
+    ``kept`` is true for the document of each component that stays. An id may have several texts: of one
+    component these are copies, of several they are documents that share an id. ``component`` tells
+    components apart, and rows without words by their text.
     """
     rows = staged(sketches(in_batches(docs), settings, id_col, text_col), "sketches")
     classes = rows.where("n > 0").groupBy("hi", "lo").agg(
@@ -364,14 +370,14 @@ def near_duplicates(docs: DataFrame, settings: Settings = EXACT_85, id_col: str
     named = classes.select("hi", "lo", "doc", "least_id", "least_doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     named = named.withColumn("label", F.coalesce("label", "doc"))
     best = named.groupBy("label").agg(F.min("least_id").alias("component_id"), F.min("least_doc").alias("first_doc"))
-    named = named.join(best, "label").select("hi", "lo", "component_id", "first_doc")
-    out = rows.select("doc", "id", F.col("n").alias("n_shingles"), "hi", "lo").join(named, ["hi", "lo"], "left")
+    named = named.join(best, "label").select("hi", "lo", "label", "component_id", "first_doc")
+    out = rows.select("doc", "id", "text_key", F.col("n").alias("n_shingles"), "hi", "lo").join(named, ["hi", "lo"], "left")
     alone = F.col("n_shingles") == 0
     return out.select(
         "doc", "id", "n_shingles", F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, F.lit(True)).otherwise(
             F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull() & (F.col("doc") == F.col("first_doc")))
-        ).alias("kept"),
+        ).alias("kept"), "text_key", F.when(alone, F.col("text_key")).otherwise(F.col("label")).alias("component"),
     )
 
 
@@ -396,7 +402,14 @@ def full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings, id_col: st
 
 
 def drop_near_duplicates(docs: DataFrame, settings: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, in the old columns."""
-    kept = near_duplicates(docs, settings, id_col, text_col).where("kept").select(F.col("doc").alias("__doc"))
-    rows = docs.withColumn("__doc", row_key(id_col, text_col))
-    return rows.join(kept.distinct(), "__doc", "left_semi").dropDuplicates(["__doc"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one row of each component, in the old columns.
+
+    Of equal rows one stays. Unlike texts under one id all stay; of linked ones under one id, the one with the
+    smallest hash.
+    """
+    found = near_duplicates(docs, settings, id_col, text_col).where("kept")
+    kept = found.groupBy("doc", "component", F.col("n_shingles") == 0).agg(F.min("text_key").alias("__text"))
+    rows = docs.withColumns({"__doc": row_key(id_col, text_col), "__text": F.xxhash64(text_col)})
+    kept = kept.select(F.col("doc").alias("__doc"), "__text").distinct()
+    stay = rows.join(kept, ["__doc", "__text"], "left_semi").dropDuplicates(["__doc", "__text"])
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
