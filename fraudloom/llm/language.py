@@ -6,8 +6,9 @@ contain. The filters are bit-sliced: one array has, per slot, 64-bit words with
 text's n-grams are counted per language bit. A language's filter answers falsely at a known rate f,
 so with h hits of n the corrected share is (h/n - f) / (1 - f); the largest share wins.
 
-Filters are learned from at most ``SAMPLE_ROWS`` documents of each language, chosen by the hash of
-their text. Their size is fixed by ``SLOTS`` and the number of languages (a word for each 64), so what is
+Filters are learned from about ``SAMPLE_ROWS`` distinct texts of each language at most, those with the
+smallest hashes: the share of the hash range is set by an estimate of the distinct texts (off by some
+percent), so copies neither fill the sample nor empty it. The filters'  size is fixed by ``SLOTS`` and the number of languages (a word for each 64), so what is
 broadcast does not grow with the corpus.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a text whose n-grams
@@ -146,13 +147,15 @@ class Model:
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Filters of the languages in ``lang_col``."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()}
+    found = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("text").alias("texts"))
+    sizes = {r["lang"]: r["texts"] for r in found.orderBy(F.desc("n"), "lang").collect()}
     languages = tuple(sizes)
     if not languages:
         return Model((), np.zeros((1, SLOTS), np.uint64), np.zeros(0))
-    kept = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1 << 30, (SAMPLE_ROWS << 30) // n)))])
+    kept = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1 << 30, (SAMPLE_ROWS << 30) // max(1, n))))])
     place = {lang: k for k, lang in enumerate(languages)}
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < kept[F.col("lang")])
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    sample = hashed.where(F.pmod("hash", F.lit(1 << 30)) < kept[F.col("lang")]).dropDuplicates(["lang", "hash"]).select("text", "lang")
 
     def holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(lang, n-gram, documents of this batch that contain it)"""
