@@ -129,14 +129,14 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def update_scores(processed: DataFrame, scores: DataFrame) -> DataFrame:
+def update_scores(processed: DataFrame, scores: DataFrame, broadcast: bool = False) -> DataFrame:
     """Processed rows with ``fraud_score`` and ``ml_flagged`` replaced where ``scores`` has the key.
 
-    Of several scores for one key the highest counts.
+    Of several scores for one key the highest counts. ``broadcast`` says that the scores are few.
     """
     best = scores.groupBy("transaction_id").agg(F.max(F.struct("fraud_score", "ml_flagged")).alias("s"))
     new = best.select("transaction_id", "s.*").select("transaction_id", F.col("fraud_score").alias("_score"), F.col("ml_flagged").alias("_flag"))
-    joined = processed.join(new, "transaction_id", "left")
+    joined = processed.join(F.broadcast(new) if broadcast else new, "transaction_id", "left")
     return joined.withColumns({
         "fraud_score": F.coalesce("_score", "fraud_score"),
         "ml_flagged": F.coalesce("_flag", "ml_flagged"),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fraudloom import schemas
 from fraudloom.operators import (
-    curated, dashboards, features, health, ingest, layers, model, quality, rules,
+    curated, dashboards, features, health, ingest, layers, model, quality, rules, tables,
 )
 from fraudloom.session import checkpoint_root, configure, scratch_folder
 from fraudloom.sources import adapter, archive, streams
@@ -344,6 +344,42 @@ def update_scores(spark: SparkSession, d: str) -> DataFrame:
     return layers.update_scores(table, scores).select("transaction_id", "fraud_score", "ml_flagged")
 
 
+SCORE_BUCKETS = 16
+
+
+def update_scores_write(spark: SparkSession, d: str) -> DataFrame:
+    """The same as a change of a written table: scores come for some ids, and once more for fewer."""
+    table, root = layers.staged(processed(spark, d), "scored"), scratch_folder(spark, "scores-table")
+    tables.write_by_bucket(table, root, SCORE_BUCKETS)
+    share = F.col("merchant_frequency") / (F.col("merchant_frequency") + 1)
+    scores = table.filter("payment_velocity > 0").select(
+        "transaction_id", share.alias("fraud_score"), (share >= 0.8).alias("ml_flagged"))
+    tables.write_scores(spark, root, scores, SCORE_BUCKETS)
+    tables.write_scores(spark, root, scores.where("fraud_score > 0.9"), SCORE_BUCKETS)
+    return spark.read.parquet(root).select("transaction_id", "fraud_score", "ml_flagged")
+
+
+def upsert_daily_write(spark: SparkSession, d: str) -> DataFrame:
+    """A written table of all days whose newest days are stale, and those days refreshed."""
+    whole, path = daily(spark, d, 30), scratch_folder(spark, "daily")
+    curated.write_daily(whole.withColumn("txn_count", F.lit(0).cast("bigint")), path)
+    curated.write_daily(daily(spark, d, 1), path)
+    return spark.read.schema(whole.schema).parquet(path)
+
+
+def dq_search(spark: SparkSession, d: str) -> DataFrame:
+    """Quarantine rows with either of two failed checks, searched in the written table."""
+    root = scratch_folder(spark, "quarantine")
+    tables.write_rejected(rejected(spark, d), root, 0)
+    return tables.search_rejected(spark, root, "INVALID_CITY", "NULL_AMOUNT").select("transaction_id", "reason")
+
+
+def dq_summary_masks(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_folder(spark, "quarantine")
+    tables.write_rejected(rejected(spark, d), root, 0)
+    return tables.rejected_summary(spark, root)
+
+
 def daily(spark: SparkSession, d: str, days: int) -> DataFrame:
     return curated.merchant_metrics(processed(spark, d, squeeze=10), F.lit("2024-01-03 09:00:00").cast("timestamp"), days)
 
@@ -639,6 +675,10 @@ REGISTRY: dict[str, Query] = {
     "join_detection": join_detection,
     "update_scores": update_scores,
     "upsert_daily": upsert_daily,
+    "update_scores_write": update_scores_write,
+    "upsert_daily_write": upsert_daily_write,
+    "dq_search": dq_search,
+    "dq_summary_masks": dq_summary_masks,
     "layer_counts": layer_counts,
     "insert_if_absent": insert_if_absent,
     "city_membership": city_membership,

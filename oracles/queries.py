@@ -80,6 +80,9 @@ for key, code in {
 Q["dq_split"] = GATED + "SELECT seq, CASE WHEN len(failed) = 0 THEN 'valid' ELSE 'rejected' END AS side FROM gated"
 Q["dq_light"] = ctes(adapter(), DIRTY, gated(LIGHT_CODES)) + "SELECT seq, array_to_string(failed, ',') AS failed_checks FROM gated"
 Q["dq_summary"] = GATED + "SELECT f AS failed_check, count(*) AS events FROM (SELECT unnest(failed) AS f FROM gated) GROUP BY 1"
+Q["dq_summary_masks"] = LANDED + "SELECT f AS failed_check, count(*) AS events FROM (SELECT unnest(failed) AS f FROM landed) GROUP BY 1"
+Q["dq_search"] = LANDED + """
+SELECT transaction_id, array_to_string(failed, ', ') AS reason FROM landed WHERE list_has_any(failed, ['INVALID_CITY', 'NULL_AMOUNT'])"""
 PLAIN_FIELDS = ("transaction_id, user_id, user_name, merchant, merchant_category, city, device, device_os, "
                 "CAST(amount AS DOUBLE) AS amount, currency, payment_method, transaction_type, status, upi_handle, "
                 "payee_vpa, bank, ip_address, latitude, longitude")
@@ -145,6 +148,7 @@ FROM seen GROUP BY injected_scenario"""
 Q["update_scores"] = FEATS + """
 SELECT transaction_id, CASE WHEN payment_velocity > 0 THEN merchant_frequency / (merchant_frequency + 1e0) END AS fraud_score,
   payment_velocity > 0 AND merchant_frequency / (merchant_frequency + 1e0) >= 0.8 AS ml_flagged FROM feats"""
+Q["update_scores_write"] = Q["update_scores"]
 SLOW = ctes(adapter(squeeze=10), feats(), verdicts())
 DAY = "strftime(make_timestamp(event_us), '%Y-%m-%d')"
 METRICS = f"""CAST(sum(amount) AS DOUBLE) AS total_amount, {mean_cents()} AS avg_amount"""
@@ -157,6 +161,7 @@ Q["merchant_metrics"] = SLOW + f"{MERCHANT_DAY} WHERE {DAY} >= '2024-01-02' GROU
 Q["upsert_daily"] = SLOW + f"""
 SELECT * REPLACE (CASE WHEN window_date >= '2024-01-02' THEN txn_count ELSE 0 END AS txn_count)
 FROM ({MERCHANT_DAY} GROUP BY 1, 2)"""
+Q["upsert_daily_write"] = Q["upsert_daily"]
 Q["customer_metrics"] = SLOW + f"""
 SELECT user_id, {DAY} AS window_date, count(*) AS txn_count, {METRICS}, count(DISTINCT city) AS distinct_cities,
   count(DISTINCT device) AS distinct_devices, count(*) FILTER (is_flagged) AS fraud_count, {REFRESHED} AS updated_at
