@@ -38,9 +38,13 @@ def std_money(amount: Column) -> Column:
     doubles. Up to 5 * 10^9 amounts below 10^12 fit 38 digits.
     """
     c = cents(amount).cast("decimal(19,0)")
-    n = F.nullif(F.count(amount), F.lit(0))
     total = F.sum(c).cast("decimal(38,0)")
-    squares = F.sum((c * c).cast("decimal(28,0)")).cast("decimal(38,0)")
+    return std_from(F.count(amount), total, F.sum((c * c).cast("decimal(28,0)")).cast("decimal(38,0)"))
+
+
+def std_from(count: Column, total: Column, squares: Column) -> Column:
+    """The same from the number of amounts, the sum of their cents and of the squares of these."""
+    n = F.nullif(count, F.lit(0))
     mean = int_div(total, n).cast("decimal(15,0)")
     whole = n.cast("decimal(10,0)")
 

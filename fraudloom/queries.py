@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fraudloom import schemas
 from fraudloom.operators import (
-    curated, dashboards, features, health, ingest, layers, model, quality, rules, tables,
+    curated, dashboards, features, health, ingest, layers, model, profile_states, quality, rules, tables,
 )
 from fraudloom.session import checkpoint_root, configure, scratch_folder
 from fraudloom.sources import adapter, archive, streams
@@ -84,6 +84,17 @@ def risk(spark: SparkSession, d: str) -> DataFrame:
     return curated.merchant_risk(*both(spark, d), clock())
 
 
+def customer_profile_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """The profile from states of days: all days as they were at noon of the last one, then that day anew."""
+    rows = layers.staged(flagged(spark, d, squeeze=10).drop("recent_statuses"), "flagged")
+    table, found, root = layers.processed_rows(rows), layers.fraud_rows(rows), scratch_folder(spark, "profile-states")
+    span = table.agg(F.to_date(F.min("event_time")).alias("first"), F.to_date(F.max("event_time")).alias("last")).first()
+    noon = F.lit(str(span["last"])).cast("timestamp") + F.expr("INTERVAL 12 HOURS")
+    profile_states.refresh_days(spark, table.where(F.col("event_time") < noon), root, span["first"], span["last"])
+    profile_states.refresh_days(spark, table, root, span["last"], span["last"])
+    return profile_states.read_profile(spark, root, found, clock())
+
+
 def gated(spark: SparkSession, d: str, profile_name: str = "full") -> DataFrame:
     return quality.gate(adapter.dirty(spark, d), F.lit(adapter.GATE_CLOCK_US), profile_name)
 
@@ -685,6 +696,7 @@ REGISTRY: dict[str, Query] = {
     "merchant_metrics": lambda s, d: daily(s, d, 1),
     "customer_metrics": customer_daily,
     "customer_profile": profile,
+    "customer_profile_refresh": customer_profile_refresh,
     "merchant_risk": risk,
     "risk_tier": lambda s, d: risk(s, d).select("merchant", "fraud_rate_pct", "risk_tier"),
     "fraud_rate_pct": lambda s, d: profile(s, d).select("user_id", "fraud_txns", "txn_count", "fraud_rate_pct"),
