@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType
 
+from fraudloom.llm.license_texts import BODIES
 from fraudloom.llm.text import ALNUM, blocks, in_batches, per_text, struct_array, struct_type
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -38,8 +39,9 @@ SCANNED = struct_type(
 #: Phrases whose places are all counted, by label (fixed values).
 PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
 
-#: Wording of public license notices, by label.
+#: Wording of public license notices, by label, and whole licenses.
 TEMPLATES = {
+    **BODIES,
     "apache": "licensed under <<beginOptional>>the<<endOptional>> apache license <<beginOptional>>version 2.0<<endOptional>>",
     "apache-2.0-notice": (
         "you may not use this file except in compliance with the license <<var;name=link;min=0;max=20>> unless required by "
