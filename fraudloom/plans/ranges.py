@@ -6,7 +6,8 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudloom.plans.hot_keys import SAMPLES_PER_SEGMENT, position_in
+from fraudloom.plans.hot_keys import SAMPLES_PER_SEGMENT, SEGMENT, in_segments
+from fraudloom.session import checkpoint_root
 
 RANGE = "range_id"
 ROWS_PER_RANGE = 50_000
@@ -32,12 +33,15 @@ def with_ranges(df: DataFrame, value: str, rows: int, rows_per_range: int = ROWS
     size = balanced_size(rows, rows_per_range)
     if rows <= size:
         return df.withColumn(RANGE, F.lit(0))
+    checkpoint_root(df.sparkSession)
     every = max(1, size // SAMPLES_PER_SEGMENT)
-    picked = df.filter(F.pmod(F.xxhash64(value), F.lit(every)) == 0)
-    shares = [i / (rows // size + 1) for i in range(1, rows // size + 1)]
-    cuts = sorted(set(picked.agg(F.percentile_approx(value, shares).alias("cuts")).first()["cuts"] or []))
-    places = F.array(*[F.lit(c) for c in cuts])
-    return df.withColumn(RANGE, position_in(places, F.col(value), len(cuts)))
+    # About the root of the rows are picked; every 32nd of them in order is a cut. They go to the rows as a
+    # table in two levels and not as literals, so neither the plan nor a row's search grows with them.
+    picked = df.where(F.pmod(F.xxhash64(value), F.lit(every)) == 0).agg(F.sort_array(F.collect_list(value)).alias("picked"))
+    cuts = picked.select(
+        F.lit(0).alias("_all"),
+        F.array_distinct(F.filter("picked", lambda _, i: i % SAMPLES_PER_SEGMENT == SAMPLES_PER_SEGMENT - 1)).alias("cuts")).checkpoint()
+    return in_segments(df.withColumn("_all", F.lit(0)), "_all", F.col(value), cuts).drop("_all", "is_hot").withColumnRenamed(SEGMENT, RANGE)
 
 
 def running_totals(df: DataFrame, value: str, columns: tuple[str, ...], rows: int,
