@@ -530,16 +530,18 @@ def health_latency_pcts_stream(spark: SparkSession, d: str) -> DataFrame:
     return health.percentiles(health.sliding(panes))
 
 
-def stream_layers(spark: SparkSession, d: str) -> str:
-    """The three streaming queries over the messages in steps, and again in a later run over copies of the first."""
+def stream_layers(spark: SparkSession, d: str, *wanted: str) -> str:
+    """Streaming queries over the messages in steps, and again in a later run over copies of some, days later."""
     root, source = scratch_folder(spark, "streams"), in_steps(adapter.messages(spark, d), "offset", "messages")
 
     def run() -> None:
         messages = streams.file_messages(spark, source, STEP_FILES)
-        schema = jobs.valid_transactions(messages).schema
-        jobs.start_landing(messages, root, f"{root}-landing", once=True).awaitTermination()
+        if "landing" in wanted:
+            jobs.start_landing(messages, root, f"{root}-landing", once=True).awaitTermination()
         jobs.start_admission(messages, root, f"{root}-admission", once=True).awaitTermination()
-        jobs.start_scoring(streams.admitted(spark, root, schema), root, f"{root}-scoring", once=True).awaitTermination()
+        if "scoring" in wanted:
+            txns = streams.admitted(spark, root, jobs.valid_transactions(messages).schema)
+            jobs.start_scoring(txns, root, f"{root}-scoring", once=True).awaitTermination()
 
     run()
     again = adapter.messages(spark, d).where("offset % 3 = 0").withColumns({
@@ -550,12 +552,13 @@ def stream_layers(spark: SparkSession, d: str) -> str:
 
 
 def sink_processed_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Ids that come again days later, in another run, are in the processed table once."""
-    return spark.read.parquet(f"{stream_layers(spark, d)}/processed").select("transaction_id", "amount")
+    """Ids that come again days later, in another run, are admitted to the processed table once."""
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{stream_layers(spark, d)}/admitted")
+    return rows.select("transaction_id", "amount")
 
 
 def health_running_counts_stream(spark: SparkSession, d: str) -> DataFrame:
-    return panels.running_totals(spark, stream_layers(spark, d))
+    return panels.running_totals(spark, stream_layers(spark, d, "landing", "scoring"))
 
 
 # ---- model -------------------------------------------------------------------------------------------------------
