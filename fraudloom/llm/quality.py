@@ -5,8 +5,11 @@ the weights minimise the logistic loss of score differences over preference pair
 quantile of the scores: the share of label 0 among all labels to learn from. The result is put on a
 0 to 1 scale on which the cut is ``CUT``.
 
-At most ``SAMPLE_ROWS`` labelled rows of each label are learned from, chosen by hash, and each takes
-part in ``PAIRS_EACH`` pairs; both bound what reaches the driver (feature rows, never texts).
+Every labelled row is learned from. Equal feature rows of one label are one row with a weight, and rows are
+dealt by hash into buckets of about ``BUCKET_ROWS``; rows of a rare label go to as many buckets as need them.
+In each of ``ROUNDS`` rounds a bucket lays both labels out in a random order and pairs what lies side by side,
+so every row is paired in every round, by its weight. The driver gets sums of a bucket (300 numbers a step)
+and counts of ranges of scores, never rows; the cut is found exactly by counting ever smaller ranges.
 
 Defined cases: a null or empty text has zero features and a score like any other; null labels and
 labels without a document are not learned from; without labels of both kinds every score is 1;
@@ -14,8 +17,8 @@ rows are scored one by one, so repeated rows get equal scores; an empty table gi
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from fraudloom.llm.text import SPACED, blocks, in_batches, mix, per_text, words
+from fraudloom.llm.text import SPACED, blocks, in_batches, mix, per_text, staged, words
 
-SAMPLE_ROWS = 4_000
-PAIRS_EACH = 8
+#: Rows of the more frequent label in a bucket, and the least of the other label.
+BUCKET_ROWS = 16_384
+LEAST_OTHERS = 64
+ROUNDS = 8
+#: Ranges counted at once in the search for the cut.
+RANGES = 4_096
 RIDGE = 1e-3
 CUT = 0.3
 #: Clipping of standardised features.
@@ -113,21 +120,42 @@ class Ranking:
         return 1 / (1 + np.exp(-away) * (1 - CUT) / CUT)
 
 
-def fit_pairs(differences: np.ndarray, steps: int = 50) -> np.ndarray:
-    """Weights that minimise the logistic loss of preferring each pair's first over its second."""
-    weights = np.zeros(differences.shape[1])
-    penalty = RIDGE * len(differences) * np.eye(len(weights))
+def pair_sums(differences: np.ndarray, mass: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curvature of the log-likelihood of preferring each pair's first over its second."""
+    doubt = 1 / (1 + np.exp(np.clip(differences @ weights, -500, 500)))
+    bend = (differences * (mass * doubt * (1 - doubt))[:, None]).T @ differences
+    return differences.T @ (mass * doubt), bend
+
+
+def climb(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], width: int, mass: float, steps: int = 50) -> np.ndarray:
+    """Weights that minimise the logistic loss, by Newton's steps; ``sums`` gives slope and curvature at weights."""
+    weights = np.zeros(width)
+    penalty = RIDGE * mass * np.eye(width)
     for _ in range(steps):
-        doubt = 1 / (1 + np.exp(np.clip(differences @ weights, -500, 500)))
-        slope = differences.T @ doubt - penalty @ weights
-        bend = (differences * (doubt * (1 - doubt))[:, None]).T @ differences + penalty
-        step = np.linalg.solve(bend, slope)
+        slope, bend = sums(weights)
+        step = np.linalg.solve(bend + penalty, slope - penalty @ weights)
         weights = weights + step
         if np.abs(step).max() < 1e-8:
             break
     return weights
 
 
+def fit_pairs(differences: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Weights that minimise the logistic loss of preferring each pair's first over its second."""
+    mass = np.ones(len(differences))
+    return climb(lambda w: pair_sums(differences, mass, w), differences.shape[1], len(differences), steps)
+
+
+def side_by_side(good: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two rows of weights stretched to one length: index in each, and length, of every stretch they share."""
+    length = max(good.sum(), bad.sum())
+    ends = [np.cumsum(w) / w.sum() * length for w in (good, bad)]
+    cuts = np.union1d(*[e[:-1] for e in ends])
+    low, high = np.concatenate(([0.0], cuts)), np.append(cuts, length)
+    first, second = (np.minimum(np.searchsorted(e, low, "right"), len(e) - 1) for e in ends)
+    return first, second, high - low
+
+
 def cut_at(scores: np.ndarray, weights: np.ndarray, quantile: float) -> float:
     """The score below which ``quantile`` of the weight lies, midway between two scores."""
     order = np.argsort(scores, kind="stable")
@@ -137,42 +165,139 @@ def cut_at(scores: np.ndarray, weights: np.ndarray, quantile: float) -> float:
     return float((low + high) / 2)
 
 
+def _unlearned() -> Ranking:
+    k = len(FEATURES)
+    return Ranking(np.zeros(k), np.ones(k), np.zeros(k), -500.0)
+
+
+_ROW = np.dtype([("label", "i8"), ("mass", "f8"), ("x", "f8", (len(FEATURES),))])
+
+
+def _pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """A bucket as one value, its rows in an order that does not depend on how they arrive."""
+    rows = np.empty(len(table), _ROW)
+    rows["label"], rows["mass"] = table.column("label").to_numpy(), table.column("mass").to_numpy()
+    rows["x"] = table.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
+    rows = rows[np.lexsort([*rows["x"].T, rows["label"]])]
+    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "rows": pa.array([rows.tobytes()], pa.binary())})
+
+
+def _over_buckets(buckets: DataFrame, work: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over buckets, always added in the same order, of what ``work`` gives for a bucket's rows."""
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def run(numbers: pa.Array, blobs: pa.Array) -> pa.Array:
+        made = [work(n, np.frombuffer(b, _ROW)).tolist() for n, b in zip(numbers.to_pylist(), blobs.to_pylist())]
+        return pa.array(made, pa.list_(pa.float64()))
+
+    found = in_batches(buckets).select("bucket", run("bucket", "rows").alias("sums")).toArrow().sort_by("bucket")
+    return np.sum(np.array(found.column("sums").to_pylist()), 0)
+
+
+def _dealt(rows: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """``rows`` (distinct by label and features) as one value per bucket; each has rows of both labels."""
+    rare = min(sizes, key=lambda k: (sizes[k], k))
+    n_buckets = -(-max(sizes.values()) // BUCKET_ROWS)
+    times = min(n_buckets, -(-LEAST_OTHERS * n_buckets // sizes[rare]))
+    place = F.pmod(F.xxhash64("x"), F.lit(n_buckets))
+    copies = F.when(F.col("label") == rare, times).otherwise(1)
+    spread = rows.select(
+        "label", (F.col("n") / copies).alias("mass"), "x", place.alias("place"),
+        F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    bucket = F.pmod(F.col("place") + F.col("copy"), F.lit(n_buckets)).alias("bucket")
+    return spread.select(bucket, "label", "mass", "x").groupBy("bucket").applyInArrow(_pack, "bucket long, rows binary")
+
+
+def _fit(buckets: DataFrame) -> Ranking:
+    """Scale and weights from all rows of all buckets; the cut is still to be set."""
+    k = len(FEATURES)
+    total = _over_buckets(buckets, lambda _, r: np.append(r["mass"] @ r["x"], r["mass"].sum()))
+    mean = total[:k] / total[k]
+    scale = np.sqrt(_over_buckets(buckets, lambda _, r: r["mass"] @ (r["x"] - mean) ** 2) / total[k])
+    scale = np.where(scale > 1e-9, scale, 1.0)
+
+    def sums(weights: np.ndarray) -> Callable[[int, np.ndarray], np.ndarray]:
+        def work(number: int, rows: np.ndarray) -> np.ndarray:
+            standard = np.clip((rows["x"] - mean) / scale, -REACH, REACH)
+            sides = [np.flatnonzero(rows["label"] == label) for label in (1, 0)]
+            dice, out = np.random.default_rng((11, number)), np.zeros(k + k * k + 1)
+            if all(map(len, sides)):
+                for _ in range(ROUNDS):
+                    good, bad = (dice.permutation(side) for side in sides)
+                    i, j, mass = side_by_side(rows["mass"][good], rows["mass"][bad])
+                    slope, bend = pair_sums(standard[good[i]] - standard[bad[j]], mass, weights)
+                    out += np.concatenate([slope, bend.ravel(), [mass.sum()]])
+            return out
+
+        return work
+
+    first = _over_buckets(buckets, sums(np.zeros(k)))
+
+    def at(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = _over_buckets(buckets, sums(weights)) if weights.any() else first
+        return found[:k], found[k:-1].reshape(k, k)
+
+    return Ranking(mean, scale, climb(at, k, first[-1]), 0.0)
+
+
+def cut_of(scored: DataFrame, each: dict[int, float], quantile: float) -> float:
+    """``cut_at`` for a table of ``label, n, s`` (``n`` rows of score ``s``), where a row of a label weighs ``each``."""
+    def weight(row) -> float:
+        return each[0] * row["n0"] + each[1] * row["n1"]
+
+    counts = [F.coalesce(F.sum(F.when(F.col("label") == k, F.col("n"))), F.lit(0)).alias(f"n{k}") for k in (0, 1)]
+    ends = [F.min("s").alias("low"), F.max("s").alias("high")]
+    whole = scored.agg(*counts, *ends).first()
+    target, below, found = quantile * weight(whole) * (1 + 1e-12), 0.0, whole
+    while found["low"] < found["high"]:
+        low, high = found["low"], found["high"]
+        place = F.floor((F.col("s") - low) / (high - low) * RANGES).alias("place")
+        inside = scored.where(F.col("s").between(low, high))
+        for found in sorted(inside.groupBy(place).agg(*counts, *ends).collect(), key=lambda r: r["place"]):
+            if below + weight(found) > target or found["high"] == high:
+                break
+            below += weight(found)
+    value = found["low"]
+    near = scored.agg(F.max(F.when(F.col("s") < value, F.col("s"))).alias("low"), F.min(F.when(F.col("s") > value, F.col("s"))).alias("high")).first()
+    # one row of the value by itself, so that the cut may lie after it
+    one = each[0] if found["n0"] else each[1]
+    parts = [(value, one), (value, weight(found) - one)]
+    if near["low"] is not None:
+        parts.insert(0, (near["low"], below))
+    if near["high"] is not None:
+        parts.append((near["high"], weight(whole) - below - weight(found)))
+    values, weights = zip(*[p for i, p in enumerate(parts) if p[1] > 0 or p[0] != value])
+    return cut_at(np.array(values), np.array(weights), quantile)
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
 ) -> Ranking:
     """Rank the labelled documents. ``labels`` holds the rows to learn from."""
-    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label")).where(
-        "__id is not null and __label in (0, 1)"
+    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).where(
+        "__id is not null and label in (0, 1)"
     )
-    sizes = {r["__label"]: r["n"] for r in known.groupBy("__label").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
-        k = len(FEATURES)
-        return Ranking(np.zeros(k), np.ones(k), np.zeros(k), -500.0)
-    kept = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1 << 30, (SAMPLE_ROWS << 30) // n)))])
-    sample = known.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < kept[F.col("__label")])
-    # about 2 * SAMPLE_ROWS labels, whatever the table's size, so they can be sent to every task
-    rows = (
-        docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(sample), "__id")
-        .select("__label", measure("__text").alias("x")).toArrow()
-    )
-    label = rows.column("__label").to_numpy()
-    table = np.array(rows.column("x").to_pylist()).reshape(-1, len(FEATURES))
-    order = np.lexsort([*table.T, label])  # results do not depend on the order in which rows arrive
-    label, table = label[order], table[order]
-    if not (label == 0).any() or not (label == 1).any():
-        k = len(FEATURES)
-        return Ranking(np.zeros(k), np.ones(k), np.zeros(k), -500.0)
-    mean, scale = table.mean(0), table.std(0)
-    model = Ranking(mean, np.where(scale > 1e-9, scale, 1.0), np.zeros(len(FEATURES)), 0.0)
-    standard = np.clip((table - model.mean) / model.scale, -REACH, REACH)
-    good, bad = standard[label == 1], standard[label == 0]
-    dice, n = np.random.default_rng(11), PAIRS_EACH * max(len(good), len(bad))
-    better = good[np.concatenate([dice.permutation(len(good)) for _ in range(-(-n // len(good)))])[:n]]
-    worse = bad[np.concatenate([dice.permutation(len(bad)) for _ in range(-(-n // len(bad)))])[:n]]
-    weights = fit_pairs(better - worse)
-    each = np.where(label == 1, sizes[1] / len(good), sizes[0] / len(bad))
-    cut = cut_at(standard @ weights, each, sizes[0] / (sizes[0] + sizes[1]))
-    return Ranking(model.mean, model.scale, weights, cut)
+        return _unlearned()
+    # features first: they are small, so that the join moves no text
+    measured = in_batches(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where("__id is not null"))
+    rows = staged(
+        measured.select("__id", measure("__text").alias("x")).join(known, "__id")
+        .groupBy("label", "x").agg(F.count("*").alias("n")), "quality-rows")
+    distinct, all_rows = {}, {}
+    for r in rows.groupBy("label").agg(F.count("*").alias("d"), F.sum("n").alias("n")).collect():
+        distinct[r["label"]], all_rows[r["label"]] = r["d"], r["n"]
+    if len(distinct) < 2:
+        return _unlearned()
+    model = _fit(staged(_dealt(rows, distinct), "quality-buckets"))
+
+    @F.arrow_udf(DoubleType())
+    def raw(lists: pa.Array) -> pa.Array:
+        return pa.array(model.raw(lists.flatten().to_numpy().reshape(-1, len(FEATURES))))
+
+    scored = staged(rows.select("label", "n", raw("x").alias("s")), "quality-scores")
+    each = {k: sizes[k] / all_rows[k] for k in sizes}
+    return replace(model, cut=cut_of(scored, each, sizes[0] / (sizes[0] + sizes[1])))
 
 
 def score(docs: DataFrame, model: Ranking, text_col: str = "text") -> DataFrame:

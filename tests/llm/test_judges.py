@@ -116,6 +116,44 @@ def test_pairs_are_fitted_like_a_logistic_model():
     assert quality.cut_at(np.array([3.0, 1.0, 2.0]), np.array([1.0, 1.0, 2.0]), 0.25) == 1.5
 
 
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    """Many more rows than a bucket holds, few of one label: sums and cut are those of the whole table."""
+    monkeypatch.setattr(quality, "BUCKET_ROWS", 200)
+    dice = np.random.default_rng(5)
+    rows = [(k, " ".join(["abc", "de,", "#", "xyz!"][i] for i in dice.integers(0, 4, 12))) for k in range(9_000)]
+    marks = [(k, int(t.count("#") < 6)) for k, t in rows] + [(3, 1), (3, 0)]
+    docs = spark.createDataFrame([*rows, rows[3]], "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    model = quality.learn(docs, labels)
+    text = dict(rows)
+    whole = [(text[k], q) for k, q in marks] + [(text[3], q) for k, q in marks if k == 3]
+    table = quality.features([t.encode() for t, _ in whole])
+    assert np.allclose(model.mean, table.mean(0)) and np.allclose(model.scale[table.std(0) > 1e-9], table.std(0)[table.std(0) > 1e-9])
+    label = np.array([q for _, q in whole])
+    sizes = [sum(q == k for _, q in marks) for k in (0, 1)]
+    order = np.argsort(label, kind="stable")
+    each = np.where(label == 1, sizes[1] / (label == 1).sum(), sizes[0] / (label == 0).sum())
+    assert model.cut == quality.cut_at(model.raw(table)[order], each[order], sizes[0] / sum(sizes))
+    again = quality.learn(docs.repartition(7), labels.repartition(3))
+    assert (again.weights == model.weights).all() and again.cut == model.cut
+
+
+def test_cut_is_that_of_all_rows(spark):
+    dice = np.random.default_rng(6)
+    for scores in (np.round(dice.normal(size=3_000), 2), np.exp(20 * dice.normal(size=3_000)), np.zeros(50), np.array([1.0, np.nextafter(1.0, 2)])):
+        label = np.sort(dice.integers(0, 2, len(scores)))
+        for each, quantile in (({0: 1.0, 1: 1.0}, 0.5), ({0: 1.5, 1: 0.25}, 0.37), ({0: 1.0, 1: 1.0}, 1.0), ({0: 1.0, 1: 1.0}, 0.0)):
+            table = spark.createDataFrame([(int(k), 1, float(s)) for k, s in zip(label, scores)], "label int, n long, s double")
+            grouped = table.groupBy("label", "s").agg({"n": "sum"}).toDF("label", "s", "n")
+            wanted = quality.cut_at(scores, np.where(label == 1, each[1], each[0]), quantile)
+            assert quality.cut_of(grouped, each, quantile) == wanted
+
+
+def test_rows_laid_side_by_side():
+    first, second, length = quality.side_by_side(np.array([1.0, 1.0, 2.0]), np.array([1.0, 1.0]))
+    assert list(zip(first, second, length)) == [(0, 0, 1), (1, 0, 1), (2, 1, 2)]
+
+
 # Licenses
 
 
