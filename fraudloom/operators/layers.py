@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudloom import schemas
+from fraudloom.functions.clock import bind
 from fraudloom.operators import features, ingest, quality, rules
 from fraudloom.session import scratch_folder
 
@@ -47,11 +48,17 @@ def fraud_rows(flagged: DataFrame) -> DataFrame:
 
 def _last_of_each(members: Column) -> Column:
     """Map of the members; of a name given twice the last counts, as in the usual JSON readers."""
-    def stays(member: Column, at: Column) -> Column:
-        later = F.slice(members, at + 2, F.size(members))
-        return ~F.exists(later, lambda other: other["key"] == member["key"])
+    def made(held: Column) -> Column:
+        def stays(member: Column, at: Column) -> Column:
+            later = F.slice(held, at + 2, F.size(held))
+            return ~F.exists(later, lambda other: other["key"] == member["key"])
 
-    return F.map_from_entries(F.filter(members, stays))
+        names = F.transform(held, lambda member: member["key"])
+        return F.when(F.size(F.array_distinct(names)) == F.size(held), F.map_from_entries(held)).otherwise(
+            F.map_from_entries(F.filter(held, stays)))
+
+    # bound, since the payload would be read again for every member otherwise
+    return bind(members, made)
 
 
 def _members() -> Column:

@@ -174,3 +174,12 @@ def test_profiles_compute_the_features_once(spark):
 
     text = queries.profile(spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in text and not re.search("from_json|haversine|ATAN2", text)
+
+
+def test_a_payload_is_read_once_per_message_and_not_once_per_member(spark):
+    flagged = spark.createDataFrame(
+        [('{"user_id":"u","n":1}', "u", True, [("R", "HIGH", "x")])],
+        "payload string, user_id string, is_flagged boolean, findings array<struct<rule string,severity string,reason string>>")
+    for made in (layers.cleaned_messages(flagged), layers.suspicious_messages(flagged)):
+        plan = made._jdf.queryExecution().analyzed().toString()
+        assert plan.count("from_json(") == 2  # with typed values and as text
