@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from fraudloom.functions import clock
 from fraudloom.functions.exact import cents, half_up, money
 from fraudloom.functions.geo import haversine_km
-from fraudloom.plans.hot_keys import IS_CONTEXT, SEGMENT, running_base, segment_hot_keys
+from fraudloom.plans.hot_keys import IS_CONTEXT, SEGMENT, in_bounded_tasks, running_base, segment_hot_keys
 from fraudloom.schemas import FEATURES, LIGHT_FEATURES, STATUS_TAIL
 
 # History length, window lengths.
@@ -132,6 +132,7 @@ def history_columns(
         )
     else:
         rows = rows.withColumn("visits", F.lit(1).cast("bigint"))
+    rows = in_bounded_tasks(rows, seg.keys, seg.total)
 
     ranked = [F.col(c).asc_nulls_first() for c in by]
     per_merchant = Window.partitionBy(*seg.keys, "merchant").orderBy(*ranked)

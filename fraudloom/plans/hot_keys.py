@@ -23,6 +23,7 @@ IS_CONTEXT = "is_context"
 SAMPLES_PER_SEGMENT = 32
 SEGMENTS_PER_LIMIT = 4  # small enough that hashing them to partitions comes out even
 MIN_HOT_ROWS = 50_000
+ROWS_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,7 @@ class Segmented:
     rows: DataFrame
     keys: tuple[str, ...]
     hot: DataFrame | None = None  # own rows of the hot keys with their segment
+    total: int = 0  # rows of the input
 
     @property
     def split(self) -> bool:
@@ -42,6 +44,15 @@ def partitions_hint(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def in_bounded_tasks(rows: DataFrame, keys: tuple[str, ...], total: int) -> DataFrame:
+    """``rows`` by ``keys`` in tasks of about ``ROWS_PER_TASK`` once there are more of them than cores.
+
+    Tasks that are joined by bytes of the shuffle hold many times these in the sorts and windows that follow.
+    """
+    wanted = -(-total // ROWS_PER_TASK)
+    return rows.repartition(wanted, *keys) if wanted > rows.sparkSession.sparkContext.defaultParallelism else rows
+
+
 def hot_limit(spark: SparkSession, total: int, floor: int) -> int:
     """Rows one key may hold in one task: a quarter of a mean shuffle partition, at least ``floor``.
 
@@ -93,7 +104,7 @@ def segment_hot_keys(
     top = counts.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
     limit = hot_rows or hot_limit(spark, top["total"] or 0, MIN_HOT_ROWS)
     if (top["largest"] or 0) <= limit:
-        return Segmented(df, (key,))
+        return Segmented(df, (key,), total=top["total"] or 0)
 
     checkpoint_root(spark)
     hot = counts.filter((F.col("rows") > limit) & F.col(key).isNotNull()).select(key)
@@ -139,7 +150,7 @@ def segment_hot_keys(
         .select(key, SEGMENT, *context_columns, F.lit(True).alias(IS_CONTEXT))
     )
     rows = placed.drop("is_hot").withColumn(IS_CONTEXT, F.lit(False))
-    return Segmented(rows.unionByName(context, allowMissingColumns=True), (key, SEGMENT), hot_rows_only)
+    return Segmented(rows.unionByName(context, allowMissingColumns=True), (key, SEGMENT), hot_rows_only, top["total"])
 
 
 def running_base(hot_rows: DataFrame, key: str, group: str) -> DataFrame:
