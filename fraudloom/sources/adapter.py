@@ -24,10 +24,16 @@ def _prefixed(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
+ROWS_PER_TASK = 100_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when a few small files would keep most cores idle; larger inputs stay as read."""
+    """Deal the rows of a table out to tasks of bounded size, one per core at least.
+
+    How a file is cut says little about rows: a cut within a row group holds none, and a row group stays whole.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(cores, -(-df.count() // ROWS_PER_TASK)))
 
 
 def transactions(

@@ -6,7 +6,9 @@ import re
 from pyspark.sql import functions as F
 
 from samples import DATA
+from fraudloom import queries
 from fraudloom.operators import curated, features, ingest, layers, quality
+from fraudloom.plans import hot_keys
 from fraudloom.sources import adapter
 
 
@@ -52,3 +54,37 @@ def test_messages_are_parsed_once_per_pass(spark, tmp_path):
 def test_city_check_broadcasts_the_ten_cities(spark):
     from fraudloom.schemas import cities
     assert "BroadcastHashJoin" in plan(curated.city_membership(adapter.dirty(spark, DATA), cities(spark)))
+
+
+def test_rows_of_one_row_group_are_dealt_to_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(adapter, "ROWS_PER_TASK", 100)
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    dealt = adapter.spread(spark.read.parquet(f"{tmp_path}/t"))
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 110
+
+
+def test_steps_of_a_stream_compute_their_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(adapter, "ROWS_PER_TASK", 10)
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        calls.add(1)
+        return x
+
+    path, n_files = queries.in_steps(spark.range(300).select(counted("id").alias("seq")), "seq", "counted")
+    assert calls.value == 300 and n_files == 10
+    files = [r["f"] for r in spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().collect()]
+    assert len(files) == 30 and spark.read.parquet(path).distinct().count() == 300
+
+
+def test_features_work_on_tasks_of_bounded_size(spark, monkeypatch):
+    rows = adapter.transactions(spark, DATA)
+    wanted = {order: features.add_features(rows, order=order).collect() for order in ("arrival", "event_time")}
+    monkeypatch.setattr(hot_keys, "ROWS_PER_TASK", 50)
+    for order, before in wanted.items():
+        made = features.add_features(rows, order=order)
+        assert len(re.findall(r"Exchange hashpartitioning\(user_id", plan(made))) == 1
+        assert made.rdd.getNumPartitions() == -(-len(before) // 50)
+        assert sorted(made.collect(), key=lambda r: r.seq) == sorted(before, key=lambda r: r.seq)
