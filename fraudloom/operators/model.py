@@ -176,9 +176,15 @@ def load_model(spark: SparkSession, path: str) -> tuple[GBTClassificationModel |
 def publish(processed: DataFrame, raw: DataFrame, path: str, trained_at: str,
             params: TreeParams = TreeParams(), threshold: float = DEFAULT.score) -> dict:
     """Train on three quarters, evaluate on the rest against the rules, save model and metadata."""
-    spark = processed.sparkSession
+    checkpoint_root(processed.sparkSession)
+    return publish_labelled(join_features_label(processed, raw).checkpoint(), path, trained_at, params, threshold)
+
+
+def publish_labelled(labelled: DataFrame, path: str, trained_at: str, params: TreeParams = TreeParams(),
+                     threshold: float = DEFAULT.score) -> dict:
+    """The same from a table of model inputs and labels, which is read more than once."""
+    spark = labelled.sparkSession
     checkpoint_root(spark)
-    labelled = join_features_label(processed, raw).checkpoint()
     rows, positives = require_enough(labelled)
     halves = stratified_split(labelled).checkpoint()
     model = train_model(halves.filter("is_train"), params)

@@ -85,7 +85,7 @@ def risk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def written_once(name: str, made: Query) -> Query:
-    """A curated table that the first card of this application writes for a data folder and all cards read."""
+    """A table that the first of its readers in this application writes for a data folder and all read."""
     def read(spark: SparkSession, d: str) -> DataFrame:
         folder = hashlib.sha256(f"{spark.sparkContext.applicationId} {d}".encode()).hexdigest()
         path = f"{checkpoint_root(spark).rstrip('/')}/curated-{folder}/{name}"
@@ -358,6 +358,9 @@ def labelled(spark: SparkSession, d: str) -> DataFrame:
     return model.join_features_label(out["processed"], out["raw"])
 
 
+learned_from = written_once("labelled", labelled)
+
+
 def join_detection(spark: SparkSession, d: str) -> DataFrame:
     out = all_layers(spark, d)
     return curated.join_detection(out["raw"], out["fraud_events"])
@@ -578,8 +581,7 @@ def published(spark: SparkSession, d: str) -> tuple:
     name = hashlib.sha256(f"{spark.sparkContext.applicationId} {d}".encode()).hexdigest()
     path = f"{checkpoint_root(spark).rstrip('/')}/model-{name}"
     if model.load_model(spark, path)[0] is None:
-        out = all_layers(spark, d)
-        model.publish(out["processed"], out["raw"], path, adapter.AS_OF)
+        model.publish_labelled(learned_from(spark, d), path, adapter.AS_OF)
     return model.load_model(spark, path)
 
 
@@ -608,7 +610,7 @@ def ml_vector(spark: SparkSession, d: str) -> DataFrame:
 
 def ml_score(spark: SparkSession, d: str) -> DataFrame:
     """Every row with its score, which is shown by what holds for any model."""
-    scored = model.score(labelled(spark, d), trained(spark, d))
+    scored = model.score(learned_from(spark, d), trained(spark, d))
     return scored.select("transaction_id", "label", F.col("fraud_score").between(0, 1).alias("is_probability"))
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import DATA
+from fraudloom import queries
 from fraudloom.operators import layers, model
 from fraudloom.plans.ranges import running_totals
 from fraudloom.sources import adapter
@@ -91,3 +92,14 @@ def test_train_save_load_score(spark, tmp_path, built):
 
 def test_without_model_scores_are_null(spark, built):
     assert model.score(built["processed"]).filter("fraud_score IS NOT NULL").count() == 0
+
+
+def test_scoring_computes_the_learned_rows_once(spark, monkeypatch, tmp_path):
+    built, folder, real_layers, real_train = [], str(tmp_path / "data"), queries.all_layers, model.train_model
+    monkeypatch.setattr(queries, "all_layers", lambda s, d: built.append(d) or real_layers(s, DATA))
+    monkeypatch.setattr(model, "MIN_POSITIVES", 1)
+    monkeypatch.setattr(model, "train_model", lambda rows, params: real_train(rows, model.TreeParams(trees=2, depth=2)))
+    scored = queries.ml_score(spark, folder)
+    assert built == [folder]
+    want = model.labels(real_layers(spark, DATA)["raw"])
+    assert scored.filter("is_probability").join(want, "transaction_id").count() == scored.count() > 500
