@@ -23,6 +23,7 @@ VECTOR = "model_input"
 SEED = 42
 TRAIN_SHARE = (3, 4)
 MIN_ROWS, MIN_POSITIVES = 500, 50  # fixed values
+ROWS_PER_TASK = 500_000  # the trainer keeps about 200 bytes a row in memory
 
 
 @dataclass(frozen=True)
@@ -99,9 +100,19 @@ def positive_weight(train: DataFrame) -> float:
     return got["neg"] / max(got["pos"], 1)
 
 
+def dealt_out(train: DataFrame) -> DataFrame:
+    """The rows in equal tasks of at most ``ROWS_PER_TASK``, one per core at least.
+
+    Every level of every tree is a pass over these tasks and waits for the largest, so files or shuffles that
+    happened to leave rows uneven would count thousands of times.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(max(cores, -(-train.count() // ROWS_PER_TASK)))
+
+
 def train_model(train: DataFrame, params: TreeParams = TreeParams()) -> GBTClassificationModel:
     weight = positive_weight(train)
-    ready = vectorize(train).select(
+    ready = vectorize(dealt_out(train)).select(
         VECTOR, F.col("label").cast("double").alias("label"),
         F.when(F.col("label") == 1, F.lit(weight)).otherwise(1.0).alias("weight"))
     return GBTClassifier(

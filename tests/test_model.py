@@ -94,6 +94,23 @@ def test_without_model_scores_are_null(spark, built):
     assert model.score(built["processed"]).filter("fraud_score IS NOT NULL").count() == 0
 
 
+def test_training_tasks_hold_equal_parts(spark, monkeypatch):
+    """Rows that lie in one task are dealt out before the passes of the trainer, and none is lost."""
+    monkeypatch.setattr(model, "ROWS_PER_TASK", 100)
+    rows = spark.createDataFrame([(f"t{i}", i % 2) for i in range(2_050)], "transaction_id string, label int").coalesce(1)
+    seen = {}
+    real = model.vectorize
+
+    def watched(df):
+        seen["sizes"] = df.rdd.glom().map(len).collect()
+        return real(df)
+
+    monkeypatch.setattr(model, "vectorize", watched)
+    missing = [F.col("label").cast("double").alias(c) for c in model.schemas.MODEL_FEATURES]
+    model.train_model(rows.select("transaction_id", "label", *missing), model.TreeParams(trees=1, depth=1))
+    assert len(seen["sizes"]) == 21 and sum(seen["sizes"]) == 2_050 and max(seen["sizes"]) <= 110
+
+
 def test_scoring_computes_the_learned_rows_once(spark, monkeypatch, tmp_path):
     built, folder, real_layers, real_train = [], str(tmp_path / "data"), queries.all_layers, model.train_model
     monkeypatch.setattr(queries, "all_layers", lambda s, d: built.append(d) or real_layers(s, DATA))
