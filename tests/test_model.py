@@ -4,12 +4,14 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from samples import DATA
 from fraudloom import queries
-from fraudloom.operators import layers, model
+from fraudloom.operators import boosting, layers, model
 from fraudloom.plans.ranges import running_totals
 from fraudloom.sources import adapter
 
@@ -120,3 +122,75 @@ def test_scoring_computes_the_learned_rows_once(spark, monkeypatch, tmp_path):
     assert built == [folder]
     want = model.labels(real_layers(spark, DATA)["raw"])
     assert scored.filter("is_probability").join(want, "transaction_id").count() == scored.count() > 500
+
+
+def training_rows(spark, n=3000, seed=5):
+    """Inputs with few and with many values, some missing, and a label that depends on some of them."""
+    rng, names = random.Random(seed), model.schemas.MODEL_FEATURES
+    rows = []
+    for i in range(n):
+        row = {c: float(rng.randrange(9)) if k % 2 else round(rng.random() * 100, 3) for k, c in enumerate(names)}
+        # What fills a missing value lies among the others, or two splits would part the rows alike.
+        row |= {c: None if rng.random() < 0.1 else row[c] - 4 for c in model.MAY_BE_MISSING}
+        row |= {c: rng.choice([0.0, 1.0]) for c in model.schemas.FLAG_FEATURES}
+        label = int((row["amount"] > 70 and row["amount_zscore"] > 4) or rng.random() < 0.05)
+        rows.append((f"t{i}", label, *[row[c] for c in names]))
+    return spark.createDataFrame(rows, "transaction_id string, label int, " + ", ".join(f"{c} double" for c in names))
+
+
+def saved_nodes(spark, trained, path):
+    trained.write().overwrite().save(path)
+    return spark.read.parquet(f"{path}/data").orderBy("treeID", "nodeData.id").collect()
+
+
+def test_trees_are_those_of_sparks_own_trainer(spark, tmp_path):
+    rows = training_rows(spark).cache()
+    weight = model.positive_weight(rows)
+    ready = model.vectorize(rows).select(model.VECTOR, "label", F.when(F.col("label") == 1, weight).otherwise(1.0).alias("weight"))
+    want = GBTClassifier(featuresCol=model.VECTOR, weightCol="weight", maxIter=5, maxDepth=4).fit(ready)
+    got = model.train_model(rows, model.TreeParams(trees=5, depth=4, row_share=1.0, column_share=1.0))
+    pairs = list(zip(saved_nodes(spark, got, str(tmp_path / "a")), saved_nodes(spark, want, str(tmp_path / "b")), strict=True))
+    for a, b in ((x.nodeData, y.nodeData) for x, y in pairs):
+        assert (a.id, a.rawCount, a.leftChild, a.rightChild, a.split) == (b.id, b.rawCount, b.leftChild, b.rightChild, b.split)
+        numbers = [[n.prediction, n.impurity, n.gain, *n.impurityStats] for n in (a, b)]
+        assert np.allclose(*numbers, rtol=1e-9, atol=1e-9)
+    assert got.treeWeights == want.treeWeights and got.numFeatures == want.numFeatures
+    assert np.allclose(got.featureImportances.toArray(), want.featureImportances.toArray())
+
+
+def test_every_tree_draws_its_rows_and_every_node_its_inputs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(boosting, "TREES_PER_CHECKPOINT", 2)
+    monkeypatch.setattr(boosting, "MOST_RESULTS", 1)
+    rows = training_rows(spark).cache()
+    passes, real = [], boosting.gathered
+    monkeypatch.setattr(boosting, "gathered", lambda *a: passes.append(1) or real(*a))
+    trained = model.train_model(rows, model.TreeParams(trees=5, depth=3, column_share=0.5))
+    assert len(passes) == 5 * 3 + 1
+    roots = [r.nodeData.rawCount for r in saved_nodes(spark, trained, str(tmp_path)) if r.nodeData.id == 0]
+    assert len(roots) == 5 and len(set(roots)) > 1 and all(2600 <= n <= 2800 for n in roots)
+    again = model.train_model(rows, model.TreeParams(trees=5, depth=3, column_share=0.5))
+    assert again.toDebugString.split("\n")[1:] == trained.toDebugString.split("\n")[1:]
+
+
+def test_cut_points_of_many_values_hold_equal_shares(spark, monkeypatch):
+    """Values of all rows are summed up, block by block, and a heavy value stays whole."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 4_000)
+    values = np.append(np.random.default_rng(1).lognormal(size=300_000), np.full(60_000, 2.5))
+    batch = boosting.pa.RecordBatch.from_arrays(
+        [boosting.pa.array(list(values[:, None])), boosting.pa.array(np.zeros(len(values)))], ["inputs", "label"])
+    batches = [batch.slice(i, 4_000) for i in range(0, len(values), 4_000)]
+    (found,) = (dict(zip(b.schema.names, (c[0].as_py() for c in b.columns))) for b in boosting.summaries(batches, 3.0))
+    got, weights = np.frombuffer(found["found"]), np.frombuffer(found["weights"])
+    assert len(got) <= boosting.SUMMARY_VALUES + 1 and abs(weights.sum() - len(values)) < 1e-6
+    cuts = boosting.cut_points(got, weights, boosting.BINS)
+    shares = np.diff(np.searchsorted(np.sort(values), cuts), prepend=0) / len(values)
+    assert len(cuts) > 20 and all(s < 0.04 or 0.16 < s < 0.23 for s in shares) and (shares > 0.04).sum() == 1
+
+
+def test_labels_other_than_two_and_no_rows_are_refused(spark):
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        model.train_model(training_rows(spark, 50).withColumn("label", F.lit(2)), model.TreeParams(trees=1, depth=1))
+    with pytest.raises(ValueError, match="no rows"):
+        model.train_model(training_rows(spark, 50).limit(0), model.TreeParams(trees=1, depth=1))
+    alike = model.train_model(training_rows(spark, 50).withColumn("label", F.lit(0)), model.TreeParams(trees=2, depth=2))
+    assert alike.totalNumNodes == 2
