@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.sql import functions as F
 
 from samples import DATA
@@ -194,3 +194,20 @@ def test_labels_other_than_two_and_no_rows_are_refused(spark):
         model.train_model(training_rows(spark, 50).limit(0), model.TreeParams(trees=1, depth=1))
     alike = model.train_model(training_rows(spark, 50).withColumn("label", F.lit(0)), model.TreeParams(trees=2, depth=2))
     assert alike.totalNumNodes == 2
+
+
+def test_scores_equal_those_of_the_models_own_transform(spark, monkeypatch):
+    rows = training_rows(spark).cache()
+    params = model.TreeParams(trees=6, depth=4)
+    for trained in (model.train_model(rows, params), model.train_model(rows.withColumn("label", F.lit(0)), params)):
+        real = GBTClassificationModel.transform
+        monkeypatch.setattr(GBTClassificationModel, "transform", lambda *a: pytest.fail("scored row by row"))
+        got = {r[0]: r[1] for r in model.score(rows, trained).select("transaction_id", "fraud_score").collect()}
+        monkeypatch.setattr(GBTClassificationModel, "transform", real)
+        monkeypatch.setattr(boosting, "DEEPEST", -1)
+        want = {r[0]: r[1] for r in model.score(rows, trained).select("transaction_id", "fraud_score").collect()}
+        monkeypatch.setattr(boosting, "DEEPEST", 12)
+        assert len(got) == 3000 and got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
+        assert model.score(rows, trained).columns == [*rows.columns, "fraud_score"]
+        assert model.score(rows.limit(0), trained).count() == 0
