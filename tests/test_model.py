@@ -143,7 +143,10 @@ def saved_nodes(spark, trained, path):
     return spark.read.parquet(f"{path}/data").orderBy("treeID", "nodeData.id").collect()
 
 
-def test_trees_are_those_of_sparks_own_trainer(spark, tmp_path):
+@pytest.mark.parametrize("block_rows", [65_536, 500])
+def test_trees_are_those_of_sparks_own_trainer(spark, tmp_path, monkeypatch, block_rows):
+    """Few rows train in the driver, more of them in tasks."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", block_rows)
     rows = training_rows(spark).cache()
     weight = model.positive_weight(rows)
     ready = model.vectorize(rows).select(model.VECTOR, "label", F.when(F.col("label") == 1, weight).otherwise(1.0).alias("weight"))
@@ -159,6 +162,7 @@ def test_trees_are_those_of_sparks_own_trainer(spark, tmp_path):
 
 
 def test_every_tree_draws_its_rows_and_every_node_its_inputs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 500)
     monkeypatch.setattr(boosting, "TREES_PER_CHECKPOINT", 2)
     monkeypatch.setattr(boosting, "MOST_RESULTS", 1)
     rows = training_rows(spark).cache()
